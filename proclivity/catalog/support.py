@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from proclivity.catalog.votes_sql import SIGNAL_RULES
 from proclivity.functions.columns import col
+from proclivity.operators.reshape import stack_results
+from proclivity.operators.selection import consensus, drop_features, embedded_family, union_names
+from proclivity.operators.selection import names as selection_names
+from proclivity.operators.summary import feature_table
+from proclivity.plans.persons import person_frame
+from proclivity.schema import NUMERIC_COLUMNS, TARGET_COLUMN
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -19,3 +26,69 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
             for f in df.schema.fields
         ]
     )
+
+
+def profile_frame(spark, sf) -> DataFrame:
+    """``(feature, nulls, mean, top, var, corr)`` of the numeric person columns."""
+    y = col(TARGET_COLUMN).cast("double")
+
+    def corr(c):
+        x = col(c)
+        yy = F.when(x.isNotNull(), y)
+        return F.try_divide(F.covar_samp(x, yy), F.stddev_samp(x) * F.stddev_samp(yy))
+
+    return feature_table(
+        person_frame(spark, sf),
+        NUMERIC_COLUMNS,
+        {
+            "nulls": lambda c: F.count_if(col(c).isNull()),
+            "mean": lambda c: F.avg(col(c)),
+            "top": lambda c: F.max(col(c)),
+            "var": lambda c: F.var_samp(col(c)),
+            "corr": corr,
+        },
+    )
+
+
+def signal_frame(spark, sf) -> DataFrame:
+    """``(method, feature)`` of the six signals."""
+    rules = F.array(
+        *[F.when(F.expr(rule), F.lit(name)) for name, rule in SIGNAL_RULES.items()]
+    )
+    return (
+        profile_frame(spark, sf)
+        .select("feature", F.explode(rules).alias("method"))
+        .where(F.col("method").isNotNull())
+        .select("method", "feature")
+    )
+
+
+def family_frame(spark, sf) -> DataFrame:
+    """``(method, feature)`` of the three families."""
+    signals = signal_frame(spark, sf)
+
+    def of(name: str) -> DataFrame:
+        return signals.where(F.col("method") == name)
+
+    near = drop_features(selection_names(spark, NUMERIC_COLUMNS), of("Variance"))
+    families = {
+        "filter": drop_features(union_names(of("Spearman"), of("ANOVA")), near),
+        "wrapper": of("RFE"),
+        "embedded": embedded_family(of("Lasso"), of("Random Forest")),
+    }
+    return stack_results(
+        [f.select(F.lit(name).alias("method"), "feature") for name, f in families.items()]
+    )
+
+
+def vote_frame(spark, sf) -> DataFrame:
+    """Families, the two embedded parts and the consensus."""
+    signals, families = signal_frame(spark, sf), family_frame(spark, sf)
+    parts = [
+        signals.where(F.col("method") == "Lasso").select(F.lit("embedded_lasso").alias("method"), "feature"),
+        signals.where(F.col("method") == "Random Forest").select(
+            F.lit("embedded_tree").alias("method"), "feature"
+        ),
+        consensus(families).select(F.lit("consensus").alias("method"), "feature"),
+    ]
+    return stack_results([families, *parts])

@@ -22,8 +22,14 @@ def double(value: float | None) -> Column:
 
 
 def half_even(column: Column, digits: int = 4) -> Column:
-    """Round half to even, as numeric arrays are rounded."""
-    return F.bround(column, digits)
+    """Round half to even as numeric arrays are rounded: scale, nearest whole number, scale back.
+
+    The decimal rounding of SQL looks at the printed digits instead and may differ in the last one.
+    """
+    if digits == 0:
+        return F.rint(column)
+    scale = F.lit(10.0**digits)
+    return F.rint(column * scale) / scale
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
