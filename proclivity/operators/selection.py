@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.ml.stat import ANOVATest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col, neg_log10
-from proclivity.operators.preprocessing import assemble
 from proclivity.operators.summary import feature_table
 from proclivity.schema import TARGET_COLUMN
 
@@ -51,15 +50,58 @@ def anova_f(df: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> D
     )
 
 
-def anova_test(df: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> DataFrame:
-    """``(feature, f_score, p_value)`` on null-free columns through Spark ML's test."""
-    vectors = assemble(df.select(col(target).cast("double").alias("label"), *[col(c) for c in columns]), columns)
-    names = F.array(*[F.lit(c) for c in columns])
-    return ANOVATest.test(vectors, "features", "label", True).select(
-        F.get(names, F.col("featureIndex")).alias("feature"),
-        F.nanvl(F.col("fValue"), F.lit(None)).alias("f_score"),
-        F.nanvl(F.col("pValue"), F.lit(None)).alias("p_value"),
+def f_tail_one(f: float, within: float) -> float:
+    """P(F > f) for one and ``within`` degrees of freedom.
+
+    With one degree above, F is a squared t value; its two-sided tail is a regularised incomplete
+    beta function, here by continued fraction, and the normal tail once ``within`` is large.
+    """
+    if f <= 0:
+        return 1.0
+    if within > 1e6:
+        return math.erfc(math.sqrt(f / 2))
+    x = within / (within + f)
+    a, b = within / 2, 0.5
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _beta_tail(b, a, 1 - x)
+    return _beta_tail(a, b, x)
+
+
+def _beta_tail(a: float, b: float, x: float) -> float:
+    front = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     )
+    # Modified Lentz evaluation of the standard continued fraction.
+    c, d = 1.0, 1.0 / _away_from_zero(1 - (a + b) * x / (a + 1))
+    h = d
+    for m in range(1, 20_000):
+        for step in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1.0 / _away_from_zero(1 + step * d)
+            c = _away_from_zero(1 + step / c)
+            h *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return front * h / a
+
+
+def _away_from_zero(x: float) -> float:
+    return x if abs(x) > 1e-300 else 1e-300
+
+
+def anova_test(df: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> DataFrame:
+    """``(feature, f_score, p_value)``; one row per feature passes through the driver."""
+    rows = [
+        (
+            r["feature"],
+            r["f_score"],
+            None if r["f_score"] is None else f_tail_one(r["f_score"], float(r["df_within"])),
+        )
+        for r in anova_f(df, columns, target).collect()
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature string, f_score double, p_value double")
 
 
 def top_anova(scores: DataFrame, top_n: int = 20) -> DataFrame:
