@@ -14,6 +14,7 @@ from proclivity.operators.selection import names as selection_names
 from proclivity.operators.summary import feature_table
 from proclivity.plans.persons import person_frame
 from proclivity.schema import NUMERIC_COLUMNS, TARGET_COLUMN
+from proclivity.session import materialize
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -50,8 +51,18 @@ def profile_frame(spark, sf) -> DataFrame:
     )
 
 
+_signals: dict[tuple[str, str], DataFrame] = {}
+
+
 def signal_frame(spark, sf) -> DataFrame:
-    """``(method, feature)`` of the six signals."""
+    """``(method, feature)`` of the six signals, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _signals:
+        _signals[key] = materialize(_build_signals(spark, sf), "signals")
+    return _signals[key]
+
+
+def _build_signals(spark, sf) -> DataFrame:
     rules = F.array(
         *[F.when(F.expr(rule), F.lit(name)) for name, rule in SIGNAL_RULES.items()]
     )

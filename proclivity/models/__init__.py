@@ -1 +1 @@
-
+"""Classifiers on named columns."""
