@@ -120,7 +120,7 @@ class Classifier(Step):
         if weighting not in ("default", "balanced", "positive", None):
             raise ValueError(f"unknown weighting {weighting!r}")
         self.kind = kind
-        self.params = dict(params or {})
+        self.settings = dict(params or {})
         self.features = features
         self.target = target
         self.key = key
@@ -130,7 +130,7 @@ class Classifier(Step):
     def on(self, features: list[str]) -> Classifier:
         """The same model for other feature columns."""
         return Classifier(
-            self.kind, self.params, features, self.target, self.key, self.weighting, self.seed
+            self.kind, self.settings, features, self.target, self.key, self.weighting, self.seed
         )
 
     def _fit(self, df: DataFrame) -> ClassifierModel:
@@ -140,7 +140,7 @@ class Classifier(Step):
             col(self.target).cast("double").alias("label"), *[col(c) for c in features]
         )
         if self.kind == "GaussianNB":
-            smoothing = self.params.get("var_smoothing", 1e-9)
+            smoothing = self.settings.get("var_smoothing", 1e-9)
             return ClassifierModel(GaussianBayes(features, smoothing).fit(rows), features, named=True)
         if self.weighting == "balanced":
             rows = balanced_weight(rows, "label", "weight")
@@ -148,8 +148,8 @@ class Classifier(Step):
             rows = positive_weight(rows, "label", "weight")
         frame = assemble(rows, features)
         if self.kind == "AdaBoost":
-            return ClassifierModel(SammeBoost(self.params, self.seed).fit(frame), features)
-        estimator = _estimator(self.kind, self.params, len(features), rows.count, self.seed)
+            return ClassifierModel(SammeBoost(self.settings, self.seed).fit(frame), features)
+        estimator = _estimator(self.kind, self.settings, len(features), rows.count, self.seed)
         if "weight" in frame.columns and estimator.hasParam("weightCol"):
             estimator = estimator.copy({estimator.getParam("weightCol"): "weight"})
         return ClassifierModel(estimator.fit(frame), features)
