@@ -88,7 +88,7 @@ _MODEL_QUERIES = {
     "model_decision_tree": ("DecisionTree", {"max_depth": 8, "min_samples_leaf": 20}),
     "model_gradient_boosting": ("GradientBoosting", {"n_estimators": 20}),
     "model_extra_trees": ("ExtraTreesClassifier", {"n_estimators": 50, "max_depth": 6}),
-    "model_adaboost": ("AdaBoost", {"n_estimators": 8, "max_depth": 2}),
+    "model_adaboost": ("AdaBoost", {"n_estimators": 8, "max_depth": 4}),
     "model_multilayer_perceptron": ("MLPClassifier", {"hidden_layer_sizes": (16,), "max_iter": 50}),
 }
 

@@ -33,7 +33,7 @@ base AS (
   LEFT JOIN gift ON gk = c_custkey LEFT JOIN promo ON pk = c_custkey
   LEFT JOIN later ON lk = c_custkey
 ),
-persons AS (
+persons AS MATERIALIZED (
   SELECT c AS CONTROL_NUMBER,
     CASE WHEN lk IS NULL THEN 0 ELSE 1 END AS TARGET_B,
     CASE WHEN c % 3 = 0 THEN 'U' ELSE 'H' END AS HOME_OWNER,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proclivity.catalog.votes_sql import SIGNAL_RULES
-from proclivity.functions.columns import col
+from proclivity.functions.sqltext import as_double, ident
 from proclivity.operators.reshape import stack_results
 from proclivity.operators.selection import consensus, drop_features, embedded_family, union_names
 from proclivity.operators.selection import names as selection_names
@@ -19,11 +19,11 @@ from proclivity.session import materialize
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, so that both engines print the same digits."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name)
+            f"round({as_double(f.name)}, {digits}) + 0D AS {ident(f.name)}"
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else col(f.name)
+            else ident(f.name)
             for f in df.schema.fields
         ]
     )
@@ -31,21 +31,19 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def profile_frame(spark, sf) -> DataFrame:
     """``(feature, nulls, mean, top, var, corr)`` of the numeric person columns."""
-    y = col(TARGET_COLUMN).cast("double")
 
     def corr(c):
-        x = col(c)
-        yy = F.when(x.isNotNull(), y)
-        return F.try_divide(F.covar_samp(x, yy), F.stddev_samp(x) * F.stddev_samp(yy))
+        y = f"CASE WHEN {c} IS NOT NULL THEN CAST({TARGET_COLUMN} AS DOUBLE) END"
+        return f"try_divide(covar_samp({c}, {y}), stddev_samp({c}) * stddev_samp({y}))"
 
     return feature_table(
         person_frame(spark, sf),
         NUMERIC_COLUMNS,
         {
-            "nulls": lambda c: F.count_if(col(c).isNull()),
-            "mean": lambda c: F.avg(col(c)),
-            "top": lambda c: F.max(col(c)),
-            "var": lambda c: F.var_samp(col(c)),
+            "nulls": lambda c: f"count_if({c} IS NULL)",
+            "mean": lambda c: f"avg({c})",
+            "top": lambda c: f"max({c})",
+            "var": lambda c: f"var_samp({c})",
             "corr": corr,
         },
     )

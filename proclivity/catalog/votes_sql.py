@@ -18,7 +18,7 @@ SIGNAL_RULES = {
 }
 
 _PROF = (
-    "prof AS ("
+    "prof AS MATERIALIZED ("
     + unpivoted(
         "persons",
         NUM,

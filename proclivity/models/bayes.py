@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.columns import col
+from proclivity.functions.sqltext import as_double, ident, number
 from proclivity.operators.base import FittedStep, Step
 
 
@@ -25,24 +25,37 @@ class GaussianBayes(Step):
         self.label = label
 
     def _fit(self, df: DataFrame) -> GaussianBayesModel:
-        y = col(self.label)
-        measures = [F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")]
-        for i, c in enumerate(self.features):
-            x = col(c).cast("double")
-            measures.append(F.var_pop(x).alias(f"v_{i}"))
-            for k in (0, 1):
-                part = F.when(y == k, x)
-                measures += [F.avg(part).alias(f"m{k}_{i}"), F.var_pop(part).alias(f"v{k}_{i}")]
-        row = df.agg(*measures).first()
-        width = range(len(self.features))
-        extra = self.var_smoothing * max(row[f"v_{i}"] for i in width)
-        total = row["n0"] + row["n1"]
+        label = ident(self.label)
+        columns = list(enumerate(self.features))
+        grouped = (
+            df.where(f"{label} IN (0, 1)")
+            .groupBy(F.expr(f"CAST({label} AS INT)").alias("k"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.expr("array(" + ", ".join(f"avg({as_double(c)})" for _, c in columns) + ")").alias("m"),
+                F.expr("array(" + ", ".join(f"var_pop({as_double(c)})" for _, c in columns) + ")").alias("v"),
+            )
+        )
+        # At most one row per class.
+        parts = {r["k"]: r for r in grouped.collect()}
+        if set(parts) != {0, 1}:
+            raise ValueError("both classes are needed")
+        priors = [parts[k]["n"] / (parts[0]["n"] + parts[1]["n"]) for k in (0, 1)]
+        means = [list(parts[k]["m"]) for k in (0, 1)]
+        inner = [list(parts[k]["v"]) for k in (0, 1)]
+        # Variance over all rows from the variances within and between the classes.
+        largest = max(
+            sum(priors[k] * inner[k][i] for k in (0, 1))
+            + priors[0] * priors[1] * (means[0][i] - means[1][i]) ** 2
+            for i, _ in columns
+        )
+        extra = self.var_smoothing * largest
         return GaussianBayesModel(
             {
                 "features": self.features,
-                "priors": [row["n0"] / total, row["n1"] / total],
-                "means": [[row[f"m{k}_{i}"] for i in width] for k in (0, 1)],
-                "variances": [[row[f"v{k}_{i}"] + extra for i in width] for k in (0, 1)],
+                "priors": priors,
+                "means": means,
+                "variances": [[v + extra for v in row] for row in inner],
             }
         )
 
@@ -50,14 +63,16 @@ class GaussianBayes(Step):
 class GaussianBayesModel(FittedStep):
     def _transform(self, df: DataFrame) -> DataFrame:
         s = self.state
-        odds = F.lit(math.log(s["priors"][1] / s["priors"][0]))
+        terms = [number(math.log(s["priors"][1] / s["priors"][0]))]
         for i, c in enumerate(s["features"]):
-            x = col(c).cast("double")
+            x = as_double(c)
             m0, m1 = s["means"][0][i], s["means"][1][i]
             v0, v1 = s["variances"][0][i], s["variances"][1][i]
-            d0, d1 = x - F.lit(m0), x - F.lit(m1)
-            odds = odds + F.lit(0.5 * math.log(v0 / v1)) + d0 * d0 / F.lit(2 * v0) - d1 * d1 / F.lit(2 * v1)
-        out = df.withColumn("__odds", odds)
+            terms.append(
+                f"({number(0.5 * math.log(v0 / v1))} + power({x} - {number(m0)}, 2) / {number(2 * v0)}"
+                f" - power({x} - {number(m1)}, 2) / {number(2 * v1)})"
+            )
+        out = df.withColumn("__odds", F.expr(" + ".join(terms)))
         return out.withColumns(
             {
                 # Beyond this range the probability is 0 or 1 in double precision anyway.

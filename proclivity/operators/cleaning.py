@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proclivity.functions.columns import col, finite_or_null, half_even, infinity_to_null
+from proclivity.functions.columns import FLOAT32_MAX, col, half_even
+from proclivity.functions.sqltext import ident, number, with_expressions
 from proclivity.operators.summary import feature_table
 from proclivity.schema import numeric_columns, require_columns
 
@@ -109,13 +110,25 @@ def infinities_to_null(df: DataFrame) -> DataFrame:
     floating = [
         f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     ]
-    return df.withColumns({c: infinity_to_null(col(c)) for c in floating})
+    return with_expressions(
+        df,
+        {
+            c: f"CASE WHEN abs({ident(c)}) = CAST('Infinity' AS DOUBLE) THEN NULL ELSE {ident(c)} END"
+            for c in floating
+        },
+    )
 
 
 def beyond_float32_to_null(df: DataFrame) -> DataFrame:
     """Magnitudes that single precision cannot hold become null."""
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: finite_or_null(col(c)) for c in floating})
+    return with_expressions(
+        df,
+        {
+            c: f"CASE WHEN abs({ident(c)}) <= {number(FLOAT32_MAX)} THEN {ident(c)} END"
+            for c in floating
+        },
+    )
 
 
 def reduce_storage(df: DataFrame) -> DataFrame:
@@ -138,7 +151,7 @@ def storage_overflows(df: DataFrame) -> DataFrame:
     return feature_table(
         df,
         wide,
-        {"overflows": lambda c: F.count_if(col(c).isNotNull() & col(c).try_cast("int").isNull())},
+        {"overflows": lambda c: f"count_if({ident(c)} IS NOT NULL AND try_cast({ident(c)} AS INT) IS NULL)"},
     )
 
 

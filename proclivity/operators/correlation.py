@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
+from proclivity.functions.sqltext import as_double, ident, text
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.profiling import engineered_summary
 from proclivity.operators.running import running_sums
@@ -107,7 +108,7 @@ def spearman_with_target(
     y = col(target).cast("double")
     long = (
         df.where(y.isNotNull())
-        .select(y.alias("__y"), *[col(c).cast("double").alias(c) for c in columns])
+        .selectExpr(f"{as_double(target)} AS __y", *[f"{as_double(c)} AS {ident(c)}" for c in columns])
         .unpivot(["__y"], columns, "feature", "value")
         .where(F.col("value").isNotNull())
         .groupBy("feature", "value")
@@ -164,26 +165,19 @@ def ranked_matrix(
 
 def null_overlaps(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature_a, feature_b, nulls_a, nulls_b, both, n)`` for pairs in column order."""
-    singles = [F.count_if(col(c).isNull()).alias(f"s{i}") for i, c in enumerate(columns)]
+    null = [f"{ident(c)} IS NULL" for c in columns]
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    both = [
-        F.count_if(col(columns[i]).isNull() & col(columns[j]).isNull()).alias(f"p{i}_{j}")
-        for i, j in pairs
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(columns[i]).alias("feature_a"),
-                F.lit(columns[j]).alias("feature_b"),
-                F.col(f"s{i}").alias("nulls_a"),
-                F.col(f"s{j}").alias("nulls_b"),
-                F.col(f"p{i}_{j}").alias("both"),
-                F.col("n").alias("n"),
-            )
-            for i, j in pairs
-        ]
+    wide = df.selectExpr(
+        "count(1) AS n",
+        *[f"count_if({test}) AS s{i}" for i, test in enumerate(null)],
+        *[f"count_if({null[i]} AND {null[j]}) AS p{i}_{j}" for i, j in pairs],
+    )
+    cells = ", ".join(
+        f"{text(columns[i])}, {text(columns[j])}, s{i}, s{j}, p{i}_{j}, n" for i, j in pairs
+    )
+    return wide.selectExpr(
+        f"stack({len(pairs)}, {cells}) AS (feature_a, feature_b, nulls_a, nulls_b, both, n)"
     )
-    return df.agg(F.count(F.lit(1)).alias("n"), *singles, *both).select(F.inline(rows))
 
 
 def null_correlations(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
+from proclivity.functions.sqltext import ident, text, with_expressions
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.summary import value_counts
 from proclivity.schema import require_columns, text_columns
@@ -82,19 +83,17 @@ class OneHotModel(FittedStep):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         categories = self.state["categories"]
-        hot = []
+        hot = {}
         for c, values in categories.items():
-            source = col(c).cast("string")
+            source = f"CAST({ident(c)} AS STRING)"
             if self.state["unknown"] == "error":
-                known = F.coalesce(source.isin([v for v in values if v is not None]), F.lit(None in values))
-                source = F.when(known, source).otherwise(
-                    F.raise_error(F.concat(F.lit(f"unknown category in {c}: "), F.coalesce(source, F.lit("null"))))
-                )
+                known = [f"{source} <=> {text(v)}" for v in values] or ["false"]
+                message = f"concat({text(f'unknown category in {c}: ')}, coalesce({source}, 'null'))"
+                source = f"CASE WHEN {' OR '.join(known)} THEN {source} ELSE raise_error({message}) END"
             for v in values:
-                hit = source.isNull() if v is None else source.eqNullSafe(v)
-                hot.append(hit.cast("double").alias(f"{c}_{NULL_NAME if v is None else v}"))
-        kept = [col(c) for c in df.columns if c not in categories]
-        return df.select(*kept, *hot)
+                name = f"{c}_{NULL_NAME if v is None else v}"
+                hot[name] = f"CAST({source} <=> {text(v)} AS DOUBLE)"
+        return with_expressions(df, hot, drop=set(categories))
 
 
 class OrdinalEncoder(Step):

@@ -7,7 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.columns import col, double, half_even
+from proclivity.functions.columns import col, double
+from proclivity.functions.sqltext import (
+    as_double,
+    half_even_sql,
+    ident,
+    number,
+    text,
+    with_expressions,
+)
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.quantiles import exact_quantiles, fits_one_buffer
 from proclivity.operators.running import order_statistics
@@ -83,11 +91,11 @@ class ColumnImputer(Step):
         if wrong:
             raise ValueError(f"numeric strategies on text columns: {wrong}")
 
-        def of(*names, text=None):
+        def of(*names, is_text=None):
             return [
                 c
                 for c, s in plan.items()
-                if s in names and (text is None or (c not in numeric) == text)
+                if s in names and (is_text is None or (c not in numeric) == is_text)
             ]
 
         fills: dict[str, object] = {}
@@ -95,12 +103,12 @@ class ColumnImputer(Step):
         for c in stats:
             fills[c] = stats[c]["min" if plan[c] == "min" else "mean"]
         fills.update({c: q[0] for c, q in exact_quantiles(df, of("median"), [0.5]).items()})
-        as_double = df.select(*[col(c).cast("double").alias(c) for c in of("most_frequent", text=False)])
+        as_double = df.select(*[col(c).cast("double").alias(c) for c in of("most_frequent", is_text=False)])
         fills.update(modes(as_double, as_double.columns))
-        fills.update(modes(df, of("most_frequent", text=True)))
+        fills.update(modes(df, of("most_frequent", is_text=True)))
         # A constant is a label; a numeric column keeps its type and takes zero.
-        fills.update(dict.fromkeys(of("constant", text=True), self.fill_value))
-        fills.update(dict.fromkeys(of("constant", text=False), 0.0))
+        fills.update(dict.fromkeys(of("constant", is_text=True), self.fill_value))
+        fills.update(dict.fromkeys(of("constant", is_text=False), 0.0))
         return ImputerModel(
             {
                 "fills": {c: fills.get(c) for c in plan},
@@ -118,11 +126,11 @@ class ImputerModel(FittedStep):
         changes = {}
         for c, fill in self.state["fills"].items():
             if c in numeric:
-                filled = F.coalesce(col(c).cast("double"), double(fill))
-                changes[c] = filled if digits is None else half_even(filled, digits)
+                filled = f"coalesce({as_double(c)}, {number(fill)})"
+                changes[c] = filled if digits is None else half_even_sql(filled, digits)
             else:
-                changes[c] = F.coalesce(col(c), F.lit(fill))
-        return df.withColumns(changes)
+                changes[c] = f"coalesce({ident(c)}, {text(fill)})"
+        return with_expressions(df, changes)
 
 
 class MnarImputer(Step):
@@ -244,7 +252,7 @@ class IndicatorImputer(Step):
 
     def _fit(self, df: DataFrame) -> IndicatorModel:
         require_columns(df, self.columns)
-        frame = df.select(*[col(c).cast("double").alias(c) for c in self.columns])
+        frame = df.selectExpr(*[f"{as_double(c)} AS {ident(c)}" for c in self.columns])
         nulls = column_stats(frame, self.columns, ["nulls"])
         if self.strategy == "median":
             fills = {c: q[0] for c, q in exact_quantiles(frame, self.columns, [0.5]).items()}
@@ -267,10 +275,10 @@ class IndicatorModel(FittedStep):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         flags = {
-            f"missingindicator_{c}": col(c).isNull().cast("double") for c in self.state["flagged"]
+            f"missingindicator_{c}": f"CAST({ident(c)} IS NULL AS DOUBLE)"
+            for c in self.state["flagged"]
         }
         fills = {
-            c: F.coalesce(col(c).cast("double"), double(fill))
-            for c, fill in self.state["fills"].items()
+            c: f"coalesce({as_double(c)}, {number(fill)})" for c, fill in self.state["fills"].items()
         }
-        return df.withColumns({**flags, **fills})
+        return with_expressions(df, {**flags, **fills})

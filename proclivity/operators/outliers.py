@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.columns import any_of, col, double, half_even
+from proclivity.functions.columns import any_of, col, double
+from proclivity.functions.sqltext import as_double, half_even_sql, ident, number, with_expressions
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.quantiles import exact_quantiles
 from proclivity.operators.summary import column_stats, feature_table
@@ -30,8 +31,14 @@ def is_outlier(column: str, fence: tuple[float, float] | None) -> Column:
     """Strictly outside the fence; null is not an outlier."""
     if fence is None:
         return F.lit(False)
-    low, high = fence
-    return F.coalesce((col(column) < double(low)) | (col(column) > double(high)), F.lit(False))
+    return F.expr(_outlier_sql(column, fence))
+
+
+def _outlier_sql(column: str, fence: tuple[float, float] | None) -> str:
+    if fence is None:
+        return "false"
+    c, (low, high) = as_double(column), fence
+    return f"coalesce({c} < {number(low)} OR {c} > {number(high)}, false)"
 
 
 def detect_outlier_columns(
@@ -100,8 +107,8 @@ def outlier_counts(
         df,
         names,
         {
-            "outlier_count": lambda c: F.count_if(is_outlier(c, fences[c])),
-            "present": lambda c: F.count(col(c)),
+            "outlier_count": lambda c: f"count_if({_outlier_sql(c, fences[c])})",
+            "present": lambda c: f"count({ident(c)})",
         },
     )
     share = F.coalesce(
@@ -125,11 +132,11 @@ def boxplot_summary(
         for c, q in quartiles.items()
     }
 
-    def inside(c: str) -> Column:
-        return F.when(~is_outlier(c, fences[c]), col(c).cast("double"))
+    def inside(c: str) -> str:
+        return f"CASE WHEN NOT {_outlier_sql(c, fences[c])} THEN {as_double(c)} END"
 
     def quartile(i: int):
-        return lambda c: F.max(double(quartiles[c][i]))
+        return lambda c: f"max({number(quartiles[c][i])})"
 
     return feature_table(
         df,
@@ -138,9 +145,9 @@ def boxplot_summary(
             "q1": quartile(0),
             "median": quartile(1),
             "q3": quartile(2),
-            "lower_whisker": lambda c: F.min(inside(c)),
-            "upper_whisker": lambda c: F.max(inside(c)),
-            "outlier_count": lambda c: F.count_if(is_outlier(c, fences[c])),
+            "lower_whisker": lambda c: f"min({inside(c)})",
+            "upper_whisker": lambda c: f"max({inside(c)})",
+            "outlier_count": lambda c: f"count_if({_outlier_sql(c, fences[c])})",
         },
     )
 
@@ -253,31 +260,32 @@ class RescalerModel(FittedStep):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         make = {"scale": _scaled, "transform": _logged, "binning": _binned}[self.state["method"]]
-        return df.withColumns(
-            {c: make(col(c).cast("double"), p) for c, p in self.state["fitted"].items()}
+        return with_expressions(
+            df, {c: make(as_double(c), p) for c, p in self.state["fitted"].items()}
         )
 
 
-def _scaled(c: Column, p: dict) -> Column:
-    return half_even((c - double(p["center"])) / double(p["width"]))
+def _scaled(c: str, p: dict) -> str:
+    return half_even_sql(f"({c} - {number(p['center'])}) / {number(p['width'])}")
 
 
-def _logged(c: Column, p: dict) -> Column:
+def _logged(c: str, p: dict) -> str:
     if p["kind"] == "log":
-        c = F.log1p(c + double(p["shift"]))
+        c = f"log1p({c} + {number(p['shift'])})"
     elif p["kind"] == "reflected":
-        c = -F.log1p(-c + double(p["shift"]))
-    return half_even(c)
+        c = f"-log1p(-{c} + {number(p['shift'])})"
+    return half_even_sql(c)
 
 
-def _binned(c: Column, p: dict) -> Column:
+def _binned(c: str, p: dict) -> str:
     if p["low"] is None:
-        return c.cast("bigint")
+        return f"CAST({c} AS BIGINT)"
     low, bins = float(p["low"]), p["bins"]
     width = (float(p["high"]) - low) / bins
     if width == 0:
         # All values equal: the range is widened evenly, so they fall in the middle bin.
-        return F.when(c.isNotNull(), F.lit((bins - 1) // 2).cast("bigint"))
-    index = F.ceil((c - double(low)) / double(width)) - 1
-    inside = F.least(F.greatest(index, F.lit(0)), F.lit(bins - 1)).cast("bigint")
-    return F.when(c.isNotNull(), inside)
+        inside = f"{(bins - 1) // 2}L"
+    else:
+        index = f"ceil(({c} - {number(low)}) / {number(width)}) - 1"
+        inside = f"least(greatest({index}, 0L), {bins - 1}L)"
+    return f"CASE WHEN {c} IS NOT NULL THEN {inside} END"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
+from proclivity.functions.sqltext import as_double, ident, text, with_expressions
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.encoding import OneHotEncoder
 from proclivity.operators.imputation import MISSING_LABEL, IndicatorImputer
@@ -157,12 +158,12 @@ class PreprocessorModel(FittedStep):
         for step in self.steps:
             out = step.transform(out)
         kept = [c for c in self.state["kept"] if c in df.columns]
-        return out.select(*[col(c) for c in kept + self.outputs])
+        return out.selectExpr(*[ident(c) for c in kept + self.outputs])
 
 
 def _label_missing(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns(
-        {c: F.coalesce(col(c).cast("string"), F.lit(MISSING_LABEL)) for c in columns}
+    return with_expressions(
+        df, {c: f"coalesce(CAST({ident(c)} AS STRING), {text(MISSING_LABEL)})" for c in columns}
     )
 
 
@@ -171,8 +172,11 @@ def assemble(df: DataFrame, features: list[str], output: str = "features") -> Da
 
     Columns are renamed by position first, since the assembler reads dots and quotes in names.
     """
-    kept = [col(c) for c in df.columns if c not in set(features)]
-    plain = df.select(*kept, *[col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)])
+    chosen = set(features)
+    plain = df.selectExpr(
+        *[ident(c) for c in df.columns if c not in chosen],
+        *[f"{as_double(c)} AS __x{i}" for i, c in enumerate(features)],
+    )
     inputs = [f"__x{i}" for i in range(len(features))]
     assembler = VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error")
     return assembler.transform(plain).drop(*inputs)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col, double
+from proclivity.functions.sqltext import as_double, ident
 from proclivity.operators.outliers import clip_filter
 from proclivity.operators.quantiles import exact_quantiles
 from proclivity.operators.summary import column_stats, feature_table, value_counts
@@ -21,7 +22,7 @@ def missing_percentages(
     table = feature_table(
         df,
         columns or df.columns,
-        {"missing_percent": lambda c: F.avg(col(c).isNull().cast("double")) * 100},
+        {"missing_percent": lambda c: f"avg(CAST({ident(c)} IS NULL AS DOUBLE)) * 100"},
     ).orderBy(F.desc("missing_percent"), "feature")
     return table if top_n is None else table.limit(top_n)
 
@@ -131,14 +132,14 @@ def missing_target_rates(
     names = [c for c in (columns or df.columns) if c in df.columns and c != target]
     if not columns_with_nulls(df, names):
         raise ValueError("no column has missing values")
-    y = col(target).cast("double")
+    y = as_double(target)
     wide = feature_table(
         df,
         names,
         {
-            "nulls": lambda c: F.count_if(col(c).isNull()),
-            "missing": lambda c: F.avg(F.when(col(c).isNull(), y)),
-            "present": lambda c: F.avg(F.when(col(c).isNotNull(), y)),
+            "nulls": lambda c: f"count_if({ident(c)} IS NULL)",
+            "missing": lambda c: f"avg(CASE WHEN {ident(c)} IS NULL THEN {y} END)",
+            "present": lambda c: f"avg(CASE WHEN {ident(c)} IS NOT NULL THEN {y} END)",
         },
     )
     top = wide.where(F.col("nulls") > 0).orderBy(F.desc("nulls"), "feature").limit(top_n)
@@ -201,21 +202,20 @@ def engineered_summary(
     df: DataFrame, columns: list[str], target: str = TARGET_COLUMN
 ) -> DataFrame:
     """Null percent, mean, deviation and correlation with the target, strongest first."""
-    y = col(target).cast("double")
+    y = as_double(target)
 
-    def corr(c: str) -> Column:
-        x = col(c).cast("double")
-        yy = F.when(x.isNotNull(), y)
-        xx = F.when(y.isNotNull(), x)
-        return F.try_divide(F.covar_samp(xx, yy), F.stddev_samp(xx) * F.stddev_samp(yy))
+    def corr(c: str) -> str:
+        x = f"CASE WHEN {y} IS NOT NULL THEN {as_double(c)} END"
+        z = f"CASE WHEN {ident(c)} IS NOT NULL THEN {y} END"
+        return f"try_divide(covar_samp({x}, {z}), stddev_samp({x}) * stddev_samp({z}))"
 
     return feature_table(
         df,
         columns,
         {
-            "missing_pct": lambda c: F.avg(col(c).isNull().cast("double")) * 100,
-            "train_mean": lambda c: F.avg(col(c)),
-            "train_std": lambda c: F.stddev_samp(col(c)),
+            "missing_pct": lambda c: f"avg(CAST({ident(c)} IS NULL AS DOUBLE)) * 100",
+            "train_mean": lambda c: f"avg({ident(c)})",
+            "train_std": lambda c: f"stddev_samp({ident(c)})",
             "target_corr": corr,
         },
     ).orderBy(F.abs("target_corr").desc_nulls_last(), "feature")
@@ -224,7 +224,7 @@ def engineered_summary(
 def variances(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(feature, variance)`` with the sample variance, smallest first."""
     names = numeric_columns(df, columns)
-    return feature_table(df, names, {"variance": lambda c: F.var_samp(col(c))}).orderBy(
+    return feature_table(df, names, {"variance": lambda c: f"var_samp({ident(c)})"}).orderBy(
         "variance", "feature"
     )
 
@@ -249,7 +249,7 @@ def indicator_levels(df: DataFrame, columns: list[str]) -> DataFrame:
         columns,
         {
             "levels": lambda c: (
-                F.max(col(c).isNull().cast("int")) - F.min(col(c).isNull().cast("int")) + 1
+                f"max(CAST({ident(c)} IS NULL AS INT)) - min(CAST({ident(c)} IS NULL AS INT)) + 1"
             )
         },
     )

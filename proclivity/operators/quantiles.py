@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.columns import col, double
+from proclivity.functions.columns import col
+from proclivity.functions.sqltext import as_double, ident, number
 
 EXACT_VALUES = 100_000
 ACCURACY = 10_000
@@ -41,9 +42,13 @@ class _Search:
     distinct: int = 0
     answer: float | None = None
 
-    def band(self):
-        c = col(self.column).cast("double")
-        return F.when((c >= double(self.low)) & (c <= double(self.high)), c)
+    def band(self) -> str:
+        c = as_double(self.column)
+        return f"CASE WHEN {c} BETWEEN {number(self.low)} AND {number(self.high)} THEN {c} END"
+
+
+def _numbers(values) -> str:
+    return "array(" + ", ".join(number(float(v)) for v in values) + ")"
 
 
 def _edges(position: float) -> list[float]:
@@ -69,9 +74,9 @@ def exact_quantiles(
     rows = dict.fromkeys(columns, df.count())
     light = columns
     if rows[columns[0]] > exact_values:
-        first = df.agg(
-            *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-            *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)],
+        first = df.selectExpr(
+            *[f"count({ident(c)}) AS n{i}" for i, c in enumerate(columns)],
+            *[f"approx_count_distinct({ident(c)}) AS d{i}" for i, c in enumerate(columns)],
         ).first()
         rows = {c: first[f"n{i}"] for i, c in enumerate(columns)}
         # The distinct estimate may be some percent low, hence the margin.
@@ -82,9 +87,9 @@ def exact_quantiles(
         ]
     heavy = [c for c in columns if rows[c] and c not in light]
     if light:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        got = df.agg(
-            *[F.percentile(col(c).cast("double"), wanted).alias(f"q{i}") for i, c in enumerate(light)]
+        wanted = _numbers(probs)
+        got = df.selectExpr(
+            *[f"percentile({as_double(c)}, {wanted}) AS q{i}" for i, c in enumerate(light)]
         ).first()
         out.update({c: list(got[f"q{i}"]) for i, c in enumerate(light)})
     if heavy:
@@ -104,15 +109,13 @@ def _select(df, columns, probs, rows, exact_values) -> dict[tuple[str, int], flo
         for c in columns
     }
     edges = {c: [e for r in ranks[c] for e in _edges((r + 0.5) / rows[c])] for c in columns}
-    got = df.agg(
+    got = df.selectExpr(
         *[
-            F.percentile_approx(
-                col(c).cast("double"), F.array(*[F.lit(e) for e in edges[c]]), ACCURACY
-            ).alias(f"e{i}")
+            f"percentile_approx({as_double(c)}, {_numbers(edges[c])}, {ACCURACY}) AS e{i}"
             for i, c in enumerate(columns)
         ],
-        *[F.min(col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(columns)],
+        *[f"min({as_double(c)}) AS lo{i}" for i, c in enumerate(columns)],
+        *[f"max({as_double(c)}) AS hi{i}" for i, c in enumerate(columns)],
     ).first()
     limits = {c: (got[f"lo{i}"], got[f"hi{i}"]) for i, c in enumerate(columns)}
     searches = [
@@ -138,13 +141,13 @@ def _select(df, columns, probs, rows, exact_values) -> dict[tuple[str, int], flo
 
 
 def _count(df, searches) -> None:
-    got = df.agg(
+    got = df.selectExpr(
         *[
-            F.count_if(col(s.column).cast("double") < double(s.low)).alias(f"b{i}")
+            f"count_if({as_double(s.column)} < {number(s.low)}) AS b{i}"
             for i, s in enumerate(searches)
         ],
-        *[F.count(s.band()).alias(f"m{i}") for i, s in enumerate(searches)],
-        *[F.approx_count_distinct(s.band()).alias(f"d{i}") for i, s in enumerate(searches)],
+        *[f"count({s.band()}) AS m{i}" for i, s in enumerate(searches)],
+        *[f"approx_count_distinct({s.band()}) AS d{i}" for i, s in enumerate(searches)],
     ).first()
     for i, s in enumerate(searches):
         s.below, s.inside, s.distinct = got[f"b{i}"], got[f"m{i}"], got[f"d{i}"]
@@ -154,8 +157,11 @@ def _finish(df, searches) -> None:
     if not searches:
         return
     shares = [(s.rank - s.below) / max(1, s.inside - 1) for s in searches]
-    got = df.agg(
-        *[F.percentile(s.band(), F.lit(q)).alias(f"x{i}") for i, (s, q) in enumerate(zip(searches, shares, strict=True))]
+    got = df.selectExpr(
+        *[
+            f"percentile({s.band()}, {number(q)}) AS x{i}"
+            for i, (s, q) in enumerate(zip(searches, shares, strict=True))
+        ]
     ).first()
     for i, s in enumerate(searches):
         s.answer = got[f"x{i}"]
@@ -164,13 +170,10 @@ def _finish(df, searches) -> None:
 def _narrow(df, searches) -> None:
     if not searches:
         return
-    got = df.agg(
+    got = df.selectExpr(
         *[
-            F.percentile_approx(
-                s.band(),
-                F.array(*[F.lit(e) for e in _edges((s.rank - s.below + 0.5) / s.inside)]),
-                ACCURACY,
-            ).alias(f"e{i}")
+            f"percentile_approx({s.band()}, "
+            f"{_numbers(_edges((s.rank - s.below + 0.5) / s.inside))}, {ACCURACY}) AS e{i}"
             for i, s in enumerate(searches)
         ]
     ).first()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from proclivity.functions.columns import col, double, half_even
+from proclivity.functions.sqltext import as_double, half_even_sql, number, with_expressions
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.quantiles import exact_quantiles
 from proclivity.operators.summary import column_stats
@@ -61,6 +61,6 @@ class ScalerModel(FittedStep):
         digits = self.state["digits"]
         changes = {}
         for c, (center, width) in self.state["fitted"].items():
-            scaled = (col(c).cast("double") - double(center)) / double(width)
-            changes[c] = scaled if digits is None else half_even(scaled, digits)
-        return df.withColumns(changes)
+            scaled = f"({as_double(c)} - {number(center)}) / {number(width)}"
+            changes[c] = scaled if digits is None else half_even_sql(scaled, digits)
+        return with_expressions(df, changes)

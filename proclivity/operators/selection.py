@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col, neg_log10
+from proclivity.functions.sqltext import as_double, ident
 from proclivity.operators.summary import feature_table
 from proclivity.schema import TARGET_COLUMN
 
@@ -28,14 +29,13 @@ def anova_f(df: DataFrame, columns: list[str], target: str = TARGET_COLUMN) -> D
     One wide aggregation: sizes, means and squared deviations of both classes per column.
     """
 
-    def part(c: str, label: int, f) -> Column:
-        return f(F.when(col(target) == label, col(c).cast("double")))
-
-    measures = {}
-    for label in (0, 1):
-        measures[f"n{label}"] = lambda c, label=label: part(c, label, F.count)
-        measures[f"m{label}"] = lambda c, label=label: part(c, label, F.avg)
-        measures[f"v{label}"] = lambda c, label=label: part(c, label, F.var_pop)
+    measures = {
+        f"{short}{label}": lambda c, f=f, label=label: (
+            f"{f}(CASE WHEN {ident(target)} = {label} THEN {as_double(c)} END)"
+        )
+        for label in (0, 1)
+        for short, f in (("n", "count"), ("m", "avg"), ("v", "var_pop"))
+    }
     wide = feature_table(df, columns, measures)
     n0, n1, m0, m1 = (F.col(x) for x in ("n0", "n1", "m0", "m1"))
     n = n0 + n1

@@ -8,30 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
-
-Measure = Callable[[Column], Column]
-
-
-def _adjusted_skew(c: Column) -> Column:
-    # Population skewness times the small-sample factor; fewer than three values or no spread: null.
-    n = F.count(c).cast("double")
-    spread = F.stddev_pop(c)
-    return F.when(
-        (n > 2) & (spread > 0), F.skewness(c) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    ).otherwise(F.when(n > 2, F.lit(0.0)))
-
-
-MEASURES: dict[str, Measure] = {
-    "count": F.count,
-    "nulls": lambda c: F.count_if(c.isNull()),
-    "null_share": lambda c: F.avg(c.isNull().cast("double")),
-    "min": F.min,
-    "max": F.max,
-    "mean": F.avg,
-    "std_pop": F.stddev_pop,
-    "std": F.stddev_samp,
-    "var": F.var_samp,
-    "skew": _adjusted_skew,
+from proclivity.functions.sqltext import ident, text
+
+# Aggregates per column as SQL text. Skewness is adjusted for small samples; without spread it is 0,
+# and null for fewer than three values.
+MEASURES: dict[str, str] = {
+    "count": "count({c})",
+    "nulls": "count_if({c} IS NULL)",
+    "null_share": "avg(CAST({c} IS NULL AS DOUBLE))",
+    "min": "min({c})",
+    "max": "max({c})",
+    "mean": "avg({c})",
+    "std_pop": "stddev_pop({c})",
+    "std": "stddev_samp({c})",
+    "var": "var_samp({c})",
+    "skew": (
+        "CASE WHEN count({c}) > 2 THEN CASE WHEN stddev_pop({c}) > 0 THEN skewness({c}) * "
+        "sqrt(CAST(count({c}) AS DOUBLE) * (count({c}) - 1)) / nullif(count({c}) - 2D, 0D) "
+        "ELSE 0D END END"
+    ),
 }
 
 
@@ -41,9 +36,9 @@ def column_stats(
     """Fitted statistics on the driver: a few numbers per column, one job for all."""
     if not columns:
         return {}
-    row = df.agg(
+    row = df.selectExpr(
         *[
-            MEASURES[m](col(c)).alias(f"{m}{i}")
+            f"{MEASURES[m].format(c=ident(c))} AS {m}{i}"
             for i, c in enumerate(columns)
             for m in measures
         ]
@@ -52,26 +47,28 @@ def column_stats(
 
 
 def feature_table(
-    df: DataFrame, columns: list[str], measures: dict[str, Callable[[str], Column]]
+    df: DataFrame, columns: list[str], measures: dict[str, Callable[[str], Column | str]]
 ) -> DataFrame:
     """Lazy report ``(feature, measure…)`` from a single wide aggregation.
 
-    ``measures`` maps an output name to a function from a column name to an aggregate; the one
-    aggregate row is then unfolded into one row per column.
+    ``measures`` maps an output name to a function from a column name to an aggregate, as SQL text
+    or as a column; the one aggregate row is then unfolded into one row per column.
     """
-    aggregates = [
-        make(c).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, make in measures.items()
+    made = [
+        (f"{name}_{i}", make(c))
+        for i, c in enumerate(columns)
+        for name, make in measures.items()
     ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                *[F.col(f"{name}_{i}").alias(name) for name in measures],
-            )
-            for i, c in enumerate(columns)
-        ]
+    if all(isinstance(e, str) for _, e in made):
+        wide = df.selectExpr(*[f"{e} AS {ident(n)}" for n, e in made])
+    else:
+        wide = df.agg(*[(F.expr(e) if isinstance(e, str) else e).alias(n) for n, e in made])
+    cells = ", ".join(
+        f"{text(c)}, " + ", ".join(ident(f"{name}_{i}") for name in measures)
+        for i, c in enumerate(columns)
     )
-    return df.agg(*aggregates).select(F.inline(rows))
+    names = ", ".join(ident(n) for n in ("feature", *measures))
+    return wide.selectExpr(f"stack({len(columns)}, {cells}) AS ({names})")
 
 
 def value_counts(df: DataFrame, columns: list[str], missing: str | None = None) -> DataFrame:
