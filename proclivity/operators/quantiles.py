@@ -91,7 +91,8 @@ def exact_quantiles(
         got = df.selectExpr(
             *[f"percentile({as_double(c)}, {wanted}) AS q{i}" for i, c in enumerate(light)]
         ).first()
-        out.update({c: list(got[f"q{i}"]) for i, c in enumerate(light)})
+        # A column without values has no quantiles and keeps its nulls.
+        out.update({c: list(got[f"q{i}"]) for i, c in enumerate(light) if got[f"q{i}"]})
     if heavy:
         stats = _select(df, heavy, probs, rows, exact_values)
         for c in heavy:
