@@ -9,7 +9,7 @@ from proclivity.functions.columns import any_of, col, double
 from proclivity.functions.sqltext import as_double, half_even_sql, ident, number, with_expressions
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.quantiles import exact_quantiles
-from proclivity.operators.summary import column_stats, feature_table
+from proclivity.operators.summary import adjusted_skewness, column_stats, feature_table
 from proclivity.schema import numeric_columns, require_columns
 
 RESCALE_METHODS = ("scale", "transform", "binning")
@@ -218,7 +218,7 @@ class OutlierRescaler(Step):
 
     def _fit(self, df: DataFrame) -> RescalerModel:
         names = self._candidates(df)
-        stats = column_stats(df, names, ["min", "max", "skew"])
+        stats = column_stats(df, names, ["min", "max", "mean"])
         if self.columns is None:
             fences = tukey_fences(df, names, self.factor)
             names = [
@@ -238,7 +238,8 @@ class OutlierRescaler(Step):
                 for c in names
             }
         elif self.method == "transform":
-            fitted = {c: self._log_plan(stats[c]) for c in names}
+            skews = adjusted_skewness(df, names, {c: stats[c]["mean"] for c in names})
+            fitted = {c: self._log_plan(stats[c], skews[c]) for c in names}
         else:
             fitted = {
                 c: {"low": stats[c]["min"], "high": stats[c]["max"], "bins": self.bins}
@@ -246,8 +247,8 @@ class OutlierRescaler(Step):
             }
         return RescalerModel({"method": self.method, "fitted": fitted})
 
-    def _log_plan(self, stats: dict) -> dict:
-        skew, low, high = stats["skew"], stats["min"], stats["max"]
+    def _log_plan(self, stats: dict, skew: float | None) -> dict:
+        low, high = stats["min"], stats["max"]
         if low is None or (skew is not None and abs(skew) < self.skew_threshold):
             return {"kind": "none"}
         if skew is not None and skew > 0:

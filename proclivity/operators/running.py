@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from proclivity.functions.columns import col
 
 RANGES = 256
+COARSE = 16
 SMALL_GROUP = 100_000
 
 
@@ -46,16 +47,17 @@ def running_sums(
             F.percentile_approx(order, probs, 10 * RANGES).alias("__cuts"),
         )
         .where(F.col("__rows") > small_group)
-        .select(*by, "__cuts")
+        .select(*by, "__cuts", F.expr(f"filter(__cuts, (c, i) -> i % {COARSE} = {COARSE - 1})").alias("__coarse"))
     )
     value = col(order)
+    # The range is the number of cuts below the value: first among every sixteenth, then in between.
+    block = F.size(F.filter("__coarse", lambda cut: cut < value)) * COARSE
+    rest = F.size(F.filter(F.slice("__cuts", F.col("__block") + 1, COARSE), lambda cut: cut < value))
     placed = (
         keyed.join(hint(cuts), keys, "left")
-        .withColumn(
-            "__range",
-            F.coalesce(F.size(F.filter("__cuts", lambda cut: cut < value)), F.lit(0)),
-        )
-        .drop("__cuts")
+        .withColumn("__block", F.when(F.col("__coarse").isNotNull(), block))
+        .withColumn("__range", F.coalesce(F.col("__block") + rest, F.lit(0)))
+        .drop("__cuts", "__coarse", "__block")
     )
     direction = F.col("__range").desc() if descending else F.col("__range").asc()
     before = Window.partitionBy(*by).orderBy(direction).rowsBetween(

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
-from proclivity.functions.sqltext import ident, text
+from proclivity.functions.sqltext import as_double, ident, number, text
 
-# Aggregates per column as SQL text. Skewness is adjusted for small samples; without spread it is 0,
-# and null for fewer than three values.
+# Aggregates per column as SQL text.
 MEASURES: dict[str, str] = {
     "count": "count({c})",
     "nulls": "count_if({c} IS NULL)",
@@ -22,11 +22,6 @@ MEASURES: dict[str, str] = {
     "std_pop": "stddev_pop({c})",
     "std": "stddev_samp({c})",
     "var": "var_samp({c})",
-    "skew": (
-        "CASE WHEN count({c}) > 2 THEN CASE WHEN stddev_pop({c}) > 0 THEN skewness({c}) * "
-        "sqrt(CAST(count({c}) AS DOUBLE) * (count({c}) - 1)) / nullif(count({c}) - 2D, 0D) "
-        "ELSE 0D END END"
-    ),
 }
 
 
@@ -46,6 +41,38 @@ def column_stats(
     return {c: {m: row[f"{m}{i}"] for m in measures} for i, c in enumerate(columns)}
 
 
+def adjusted_skewness(
+    df: DataFrame, columns: list[str], means: dict[str, float | None] | None = None
+) -> dict[str, float | None]:
+    """Sample skewness with the small-sample factor; 0 without spread, null below three values.
+
+    Moments are taken around the mean, which plain averages of powers can do in one cheap pass once
+    the mean is known.
+    """
+    if means is None:
+        means = {c: s["mean"] for c, s in column_stats(df, columns, ["mean"]).items()}
+    names = [c for c in columns if means[c] is not None]
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    if not names:
+        return out
+    away = {c: f"({as_double(c)} - {number(float(means[c]))})" for c in names}
+    row = df.selectExpr(
+        *[f"count({ident(c)}) AS n{i}" for i, c in enumerate(names)],
+        *[f"avg({away[c]} * {away[c]}) AS s{i}" for i, c in enumerate(names)],
+        *[f"avg({away[c]} * {away[c]} * {away[c]}) AS t{i}" for i, c in enumerate(names)],
+    ).first()
+    for i, c in enumerate(names):
+        n, second, third = row[f"n{i}"], row[f"s{i}"], row[f"t{i}"]
+        if n < 3:
+            continue
+        # Spread below the rounding noise of the mean itself counts as none.
+        if second <= (float(means[c]) * 1e-14) ** 2:
+            out[c] = 0.0
+        else:
+            out[c] = third / second**1.5 * math.sqrt(n * (n - 1)) / (n - 2)
+    return out
+
+
 def feature_table(
     df: DataFrame, columns: list[str], measures: dict[str, Callable[[str], Column | str]]
 ) -> DataFrame:

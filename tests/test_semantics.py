@@ -38,8 +38,10 @@ def doubles(spark, *values):
 
 
 def test_adjusted_skew(spark):
-    got = summary.column_stats(doubles(spark, 2.0, 4.0, 9.0, 0.00125), ["x"], ["skew"])
-    assert math.isclose(got["x"]["skew"], 1.0028, abs_tol=1e-4)
+    got = summary.adjusted_skewness(doubles(spark, 2.0, 4.0, 9.0, 0.00125), ["x"])
+    assert math.isclose(got["x"], 1.0028, abs_tol=1e-4)
+    assert summary.adjusted_skewness(doubles(spark, 5.1, 5.1, 5.1), ["x"]) == {"x": 0.0}
+    assert summary.adjusted_skewness(doubles(spark, 1.0, 2.0, None), ["x"]) == {"x": None}
 
 
 @pytest.mark.parametrize("strategy", ["standard", "minmax", "robust"])
