@@ -89,6 +89,7 @@ _MODEL_QUERIES = {
     "model_gradient_boosting": ("GradientBoosting", {"n_estimators": 20}),
     "model_extra_trees": ("ExtraTreesClassifier", {"n_estimators": 50, "max_depth": 6}),
     "model_adaboost": ("AdaBoost", {"n_estimators": 8, "max_depth": 4}),
+    "model_nearest_neighbours": ("KNeighborsClassifier", {"n_neighbors": 15}),
     "model_multilayer_perceptron": ("MLPClassifier", {"hidden_layer_sizes": (16,), "max_iter": 50}),
 }
 

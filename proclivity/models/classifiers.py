@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from proclivity.functions.columns import col
 from proclivity.models.bayes import GaussianBayes
 from proclivity.models.boosting import SammeBoost
+from proclivity.models.neighbours import NearestNeighbours
 from proclivity.operators.base import FittedStep, Step
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.splitting import balanced_weight, positive_weight
@@ -38,6 +39,7 @@ WEIGHTS = {
     "RandomForestClassifier": "balanced",
     "ExtraTreesClassifier": "balanced",
     "GaussianNB": None,
+    "KNeighborsClassifier": None,
     "MLPClassifier": None,
 }
 
@@ -142,6 +144,12 @@ class Classifier(Step):
         if self.kind == "GaussianNB":
             smoothing = self.settings.get("var_smoothing", 1e-9)
             return ClassifierModel(GaussianBayes(features, smoothing).fit(rows), features, named=True)
+        if self.kind == "KNeighborsClassifier":
+            p = self.settings
+            step = NearestNeighbours(
+                features, p.get("n_neighbors", 5), p.get("weights", "uniform"), p.get("p", 2)
+            )
+            return ClassifierModel(step.fit(rows), features, named=True)
         if self.weighting == "balanced":
             rows = balanced_weight(rows, "label", "weight")
         elif self.weighting == "positive":

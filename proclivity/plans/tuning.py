@@ -63,6 +63,11 @@ SPACES: dict[str, dict] = {
     },
     "RandomForestClassifier": _FOREST_SPACE,
     "ExtraTreesClassifier": _FOREST_SPACE,
+    "KNeighborsClassifier": {
+        "n_neighbors": ("int", 3, 30),
+        "weights": ("one", ["uniform", "distance"]),
+        "p": ("int", 1, 2),
+    },
     "GaussianNB": {"var_smoothing": ("power", -9, -1)},
     "MLPClassifier": {
         "hidden_layer_sizes": ("one", [(64,), (128,), (64, 32), (128, 64), (128, 64, 32)]),

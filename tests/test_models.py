@@ -1,8 +1,10 @@
 """Classifiers find a planted signal, weights act as they should, plans run end to end."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from proclivity.models import neighbours
 from proclivity.models.classifiers import WEIGHTS, Classifier, build_model
 from proclivity.operators import model_selection
 from proclivity.operators.evaluation import probability_metrics
@@ -17,6 +19,7 @@ PARAMS = {
     "RandomForestClassifier": {"n_estimators": 10, "max_depth": 5},
     "ExtraTreesClassifier": {"n_estimators": 10, "max_depth": 5},
     "GaussianNB": {},
+    "KNeighborsClassifier": {"n_neighbors": 7},
     "MLPClassifier": {"hidden_layer_sizes": (4,), "max_iter": 40},
 }
 
@@ -57,6 +60,29 @@ def test_weights_raise_recall(frame):
     assert recall["balanced"] > recall[None]
 
 
+@pytest.mark.parametrize(("k", "weights", "p"), [(1, "uniform", 2), (7, "uniform", 1), (5, "distance", 2)])
+def test_neighbours_match_brute_force(spark, monkeypatch, k, weights, p):
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 20)
+    monkeypatch.setattr(neighbours, "TRAIN_CHUNK", 40)
+    rng = np.random.default_rng(k)
+    x, y = rng.normal(size=(300, 3)), rng.integers(0, 2, 300)
+    # A third of the training rows share one vector and one label.
+    x[:100], y[:100] = 0.25, 1
+    ask = np.vstack([rng.normal(size=(60, 3)), x[:5], x[150:155]])
+    train = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)], "a double, b double, c double, label int")
+    test = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(ask)], "id int, a double, b double, c double")
+    model = neighbours.NearestNeighbours(["a", "b", "c"], k, weights, p).fit(train)
+    got = {r["id"]: r["score"] for r in model.transform(test).collect()}
+    assert len(got) == len(ask)
+    for i, point in enumerate(ask):
+        d = (np.abs(x - point) ** p).sum(axis=1) ** (1 / p)
+        order = np.argsort(d, kind="stable")[:k]
+        w = np.ones(k)
+        if weights == "distance":
+            w = (d[order] == 0).astype(float) if d[order[0]] == 0 else 1 / d[order]
+        assert abs(got[i] - (w * y[order]).sum() / w.sum()) < 1e-9
+
+
 def test_unknown_model():
     with pytest.raises(ValueError):
         build_model("Nope")
