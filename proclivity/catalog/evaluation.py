@@ -23,12 +23,12 @@ PLAIN_AREA = AREA.format(by="", part="", group="")
 SCORED = "scored AS (SELECT CONTROL_NUMBER, TARGET_B AS y, score FROM scores)"
 
 
-def metrics_sql(tn="tn", fp="fp", fn="fn", tp="tp") -> str:
+def metrics_sql(tn="tn", fp="fp", fn="fn", tp="tp", shown=r6) -> str:
     return (
-        f"{r6(f'({tp} + {tn}) / CAST({tp} + {tn} + {fp} + {fn} AS DOUBLE)')} AS accuracy, "
-        f"{r6(f'coalesce({tp} / CAST(nullif({tp} + {fp}, 0) AS DOUBLE), 0)')} AS \"precision\", "
-        f"{r6(f'coalesce({tp} / CAST(nullif({tp} + {fn}, 0) AS DOUBLE), 0)')} AS recall, "
-        f"{r6(f'coalesce(2 * {tp} / CAST(nullif(2 * {tp} + {fp} + {fn}, 0) AS DOUBLE), 0)')} AS f1"
+        f"{shown(f'({tp} + {tn}) / CAST({tp} + {tn} + {fp} + {fn} AS DOUBLE)')} AS accuracy, "
+        f"{shown(f'coalesce({tp} / CAST(nullif({tp} + {fp}, 0) AS DOUBLE), 0)')} AS \"precision\", "
+        f"{shown(f'coalesce({tp} / CAST(nullif({tp} + {fn}, 0) AS DOUBLE), 0)')} AS recall, "
+        f"{shown(f'coalesce(2 * {tp} / CAST(nullif(2 * {tp} + {fp} + {fn}, 0) AS DOUBLE), 0)')} AS f1"
     )
 
 
@@ -240,7 +240,7 @@ _FOLDED = (
     "scored AS (SELECT TARGET_B AS y, score, (SELECT count(*) FROM range(1, 5) AS c(i) WHERE r > floor(n * i / 5)) AS fold FROM ranked)"
 )
 _FOLD_METRICS = (
-    f"folds AS (SELECT fold, {metrics_sql()}, roc_auc FROM (SELECT fold, {counts_at('0.5')} FROM scored GROUP BY fold) JOIN areas USING (fold))"
+    f"folds AS (SELECT fold, {metrics_sql(shown=str)}, roc_auc FROM (SELECT fold, {counts_at('0.5')} FROM scored GROUP BY fold) JOIN areas USING (fold))"
 )
 
 
@@ -260,7 +260,7 @@ _FOLD_METRICS = (
 )
 def fold_metrics_summary(spark, sf):
     folded = stratified_folds(score_frame(spark, sf))
-    per_fold = rounded(evaluation.probability_metrics(folded, by=["fold"]))
+    per_fold = evaluation.probability_metrics(folded, by=["fold"])
     summary = evaluation.fold_summary(per_fold)
     return summary.select(
         *[
