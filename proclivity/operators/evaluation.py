@@ -112,9 +112,7 @@ def pr_curve(df: DataFrame, score: str = "score", target: str = TARGET_COLUMN) -
     counts = by_score(df, score, target)
     running = running_sums(counts, [], "score", ["n", "pos"], descending=True)
     total = counts.agg(F.sum("pos").alias("positives"))
-    joined = running.withColumn("__all", F.lit(0)).join(
-        F.broadcast(total.withColumn("__all", F.lit(0))), "__all"
-    )
+    joined = running.withColumn("positives", total.scalar())
     tp = F.col("pos_upto")
     return joined.select(
         "score",

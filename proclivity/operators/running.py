@@ -34,31 +34,40 @@ def running_sums(
     number of groups is bounded by the schema or by classes, so that the cut points (at most
     ``RANGES`` numbers a group) may be broadcast; otherwise Spark picks the join by size.
     """
-    keyed = df if group else df.withColumn("__all", F.lit(0))
-    keys = group or ["__all"]
-    by = [col(g) for g in keys]
+    by = [col(g) for g in group]
     hint = F.broadcast if bounded_groups else (lambda frame: frame)
 
     probs = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
     cuts = (
-        keyed.groupBy(*by)
+        df.groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("__rows"),
             F.percentile_approx(order, probs, 10 * RANGES).alias("__cuts"),
         )
         .where(F.col("__rows") > small_group)
-        .select(*by, "__cuts", F.expr(f"filter(__cuts, (c, i) -> i % {COARSE} = {COARSE - 1})").alias("__coarse"))
+        .select(
+            *by,
+            F.struct(
+                F.col("__cuts").alias("all"),
+                F.expr(f"filter(__cuts, (c, i) -> i % {COARSE} = {COARSE - 1})").alias("coarse"),
+            ).alias("__cut"),
+        )
     )
-    value = col(order)
+    if group:
+        with_cuts = df.join(hint(cuts), group, "left")
+    else:
+        with_cuts = df.withColumn("__cut", cuts.scalar())
     # The range is the number of cuts below the value: first among every sixteenth, then in between.
-    block = F.size(F.filter("__coarse", lambda cut: cut < value)) * COARSE
-    rest = F.size(F.filter(F.slice("__cuts", F.col("__block") + 1, COARSE), lambda cut: cut < value))
+    value = col(order)
+    block = F.size(F.filter("__cut.coarse", lambda cut: cut < value)) * COARSE
+    nearby = F.slice("__cut.all", F.col("__block") + 1, COARSE)
+    rest = F.size(F.filter(nearby, lambda cut: cut < value))
     placed = (
-        keyed.join(hint(cuts), keys, "left")
-        .withColumn("__block", F.when(F.col("__coarse").isNotNull(), block))
+        with_cuts.withColumn("__block", F.when(F.col("__cut").isNotNull(), block))
         .withColumn("__range", F.coalesce(F.col("__block") + rest, F.lit(0)))
-        .drop("__cuts", "__coarse", "__block")
+        .drop("__cut", "__block")
     )
+    # At most RANGES rows per group.
     direction = F.col("__range").desc() if descending else F.col("__range").asc()
     before = Window.partitionBy(*by).orderBy(direction).rowsBetween(
         Window.unboundedPreceding, -1
@@ -77,7 +86,7 @@ def running_sums(
         .orderBy(value.desc() if descending else value.asc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    out = placed.join(hint(offsets), [*keys, "__range"], "left")
+    out = placed.join(hint(offsets), [*group, "__range"], "left")
     for s in sums:
         out = out.withColumn(f"{s}_upto", F.sum(s).over(inside) + F.col(f"__o_{s}"))
     return out.select(*[col(c) for c in df.columns], *[f"{s}_upto" for s in sums])
@@ -102,9 +111,7 @@ def order_statistics(
     if group:
         joined = upto.join(F.broadcast(totals) if bounded_groups else totals, group)
     else:
-        joined = upto.withColumn("__all", F.lit(0)).join(
-            F.broadcast(totals.withColumn("__all", F.lit(0))), "__all"
-        )
+        joined = upto.withColumn("__total", totals.scalar())
     picks = []
     for i, p in enumerate(probs):
         position = (F.col("__total") - 1) * F.lit(float(p))

@@ -35,8 +35,10 @@ def hash_cuts(
     """``(class, cuts)``: for each class the hashes at the given ranks, ascending.
 
     ``ranks`` are functions from the class size column to a 1-based rank column; rank 0 means
-    that no row lies at or below the cut.
+    that no row lies at or below the cut. The number of classes is checked first, as everything
+    per class is broadcast afterwards.
     """
+    _class_sizes(df, target)
     hashed = df.select(col(target).alias("__class"), split_hash(key, seed).alias("__hash"))
     head = F.substring("__hash", 1, prefix)
     by_prefix = hashed.groupBy("__class", head.alias("__head")).agg(F.count(F.lit(1)).alias("n"))
@@ -74,14 +76,9 @@ def hash_cuts(
 
 
 def _with_cuts(df: DataFrame, cuts: DataFrame, target: str) -> DataFrame:
-    # One row per class; a label with more classes than that is no label, so the hint is dropped.
-    few = cuts.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES
-    side = cuts.withColumnRenamed("__class", "__cut_class")
-    return df.join(
-        F.broadcast(side) if few else side,
-        col(target).eqNullSafe(F.col("__cut_class")),
-        "left",
-    )
+    # One row per class, and their number was checked.
+    side = F.broadcast(cuts.withColumnRenamed("__class", "__cut_class"))
+    return df.join(side, col(target).eqNullSafe(F.col("__cut_class")), "left")
 
 
 def stratified_split(

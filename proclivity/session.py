@@ -16,10 +16,10 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a folder of its own; a cluster
     session without it is an error, since a machine-local folder is not visible to all executors.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_scratch.setdefault(
