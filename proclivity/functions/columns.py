@@ -37,23 +37,6 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def is_missing(column: Column, kind: str) -> Column:
-    """Null test; floating columns count NaN as missing too."""
-    if kind in ("double", "float"):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
-
-
-def finite_or_null(column: Column) -> Column:
-    """Null out infinities and magnitudes beyond single precision."""
-    return F.when(F.abs(column) <= F.lit(FLOAT32_MAX), column)
-
-
-def infinity_to_null(column: Column) -> Column:
-    """Null out plus and minus infinity only."""
-    return F.when(F.abs(column) == F.lit(float("inf")), None).otherwise(column)
-
-
 def any_of(flags: list[Column]) -> Column:
     """True where any flag is true; null flags count as false."""
     return reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in flags])
@@ -72,8 +55,3 @@ def decide(score: Column, threshold) -> Column:
 def neg_log10(p: Column) -> Column:
     """-log10 of a probability floored at 1e-300, so that it stays finite."""
     return -F.log10(F.greatest(p, F.lit(1e-300)))
-
-
-def stack_rows(names: list[str], make_struct, field: str = "row") -> Column:
-    """One array with a struct per name, to turn one wide aggregate row into many with ``inline``."""
-    return F.array(*[make_struct(n) for n in names]).alias(field)

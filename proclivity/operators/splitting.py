@@ -8,6 +8,8 @@ the split itself is then a comparison with one cut per class, so no wide row is
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,7 +94,9 @@ def stratified_split(
     """Add ``train``/``val`` so that round(share · size) rows of every class are in train."""
     if not 0 < share < 1:
         raise ValueError("share must lie between 0 and 1")
-    cuts = hash_cuts(df, key, target, [lambda size: F.round(size * F.lit(share))], seed)
+    # As a decimal, since 0.7 of a class can be an exact half that binary fractions miss.
+    exact = F.lit(Decimal(str(share)))
+    cuts = hash_cuts(df, key, target, [lambda size: F.round(size * exact)], seed)
     inside = F.coalesce(split_hash(key, seed) <= F.get("cuts", 0), F.lit(False))
     return (
         _with_cuts(df, cuts, target)
