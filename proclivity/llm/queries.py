@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, bottom_k, mixing, url_filter
-from .shared import read, text_or_empty
+from . import block_names, bottom_k, covering_simhash, mixing, piece_counts, tag_paths, tool_calls, toxic_passages, url_filter, word_automaton
+from .shared import Workspace, read, text_or_empty
 
 #: Fixed values: (host, path, verdict).
 URL_RULES = [
@@ -98,5 +99,84 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_document_sketches, op6_source_mixture, op7_exact_dedup)}
+#: Schemas of the tools that op2's derived calls name; ``count`` is left out, so its calls are of an unknown tool.
+TOOL_SCHEMAS = {
+    "search": {
+        "properties": {"query": {"type": "string", "minLength": 1, "maxLength": 400}, "limit": {"type": "integer", "minimum": 1}},
+        "required": ["query", "limit"],
+        "additionalProperties": False,
+    },
+    "translate": {
+        "properties": {"text": {"type": "string"}, "formal": {"type": "boolean"}},
+        "required": ["text"],
+    },
+}
+
+
+def derived_tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results derived from turns, since the table has no tool turns.
+
+    Each assistant turn stands for a call whose arguments hold its text, each user turn for the result of the call one
+    turn before. A call depends on the assistant turn two turns before, except on every fourth. Some calls lack
+    results, some results lack calls, some arguments break their schema.
+    """
+    turn = F.col("turn")
+    identifier = lambda t: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
+    kind = F.pmod(turn + F.col("conv_id"), F.lit(5))
+    calls = conversations.where("role = 'assistant'").select(
+        "conv_id",
+        identifier(turn).alias("call_id"),
+        "turn",
+        F.when(kind < 2, "search").when(kind < 4, "translate").otherwise("count").alias("name"),
+        F.when(kind < 2, F.to_json(F.struct(F.length("text").alias("limit"), F.col("text").alias("query"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("text"), (turn % 4 == 1).alias("formal")))).alias("arguments"),
+        F.when(turn % 8 < 2, F.array().cast("array<string>")).otherwise(F.array(identifier(turn - 2))).alias("depends_on"),
+    )
+    results = conversations.where("role = 'user'").select(
+        "conv_id", identifier(turn - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    return calls, results
+
+
+def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = derived_tool_calls(read(spark, sf_dir, "conversations"))
+    return tool_calls.link_calls(calls, results, TOOL_SCHEMAS)
+
+
+def op3_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxic_passages.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "n_tokens", F.size("passages").alias("n_passages"),
+    )
+
+
+def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering_simhash.near_classes(read(spark, sf_dir, "documents"), words=4, radius=4)
+
+
+def op8_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tag_paths.extract_articles(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = piece_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op10_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    ws = Workspace(spark, "encode")
+    return word_automaton.encode(ws, docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_tool_call_linking, op3_toxic_passages, op4_document_sketches, op5_covering_simhash,
+        op6_source_mixture, op7_exact_dedup, op8_tag_path_text, op9_piece_counts, op10_word_automaton,
+    )
+}
 SQL = {"op1_url_filter": OP1_SQL, "op6_source_mixture": OP6_SQL, "op7_exact_dedup": OP7_SQL}

@@ -23,6 +23,8 @@ from .shared import Workspace, let
 
 #: Bits of one level at most (16 MB). A list that needs more is an error, not a worse filter.
 MAX_BITS = 1 << 27
+#: Error rate of the levels after the first: 1/2 gives the smallest filters, less gives fewer levels (and jobs).
+LATER_RATE = 1 / 16
 
 
 @dataclass
@@ -85,7 +87,7 @@ def build_cascade(ws: Workspace, listed: DataFrame, universe: DataFrame) -> Casc
     """A cascade that is exact on every key of ``universe`` and ``listed`` (frames with a column ``key``).
 
     The first level's error rate is the published optimum for the ratio of listed to other keys, later ones
-    use 1/2. Repeated keys count once, null keys are left out. An empty list holds nothing.
+    use ``LATER_RATE``. Repeated keys count once, null keys are left out. An empty list holds nothing.
     """
     listed = ws.write(listed.where("key is not null").select("key").distinct(), "listed")
     n = listed.count()
@@ -103,7 +105,7 @@ def build_cascade(ws: Workspace, listed: DataFrame, universe: DataFrame) -> Casc
     inside, outside = listed, ws.write(passed.join(listed, "key", "left_anti"), "wrong-0")
     while (count := outside.count()) > 0:
         depth = len(levels)
-        levels.append(_level(outside, depth, count, 0.5))
+        levels.append(_level(outside, depth, count, LATER_RATE))
         inside, outside = outside, ws.write(wrongly(inside, levels[-1], depth), f"wrong-{depth}")
     return Cascade(levels)
 
