@@ -119,8 +119,8 @@ def copy_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", block
     )
 
 
-#: Up to so many dropped keys are sent to every executor (16 MB of longs); more are shuffled.
-BROADCAST_KEYS = 2_000_000
+#: Up to so many dropped keys (about 100 bytes each) are sent to every executor; more are shuffled.
+BROADCAST_KEYS = 500_000
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -6,9 +6,12 @@ positions whose vector has an even product with v. Any r positions span at most
 orthogonal to all of them and its mask leaves them out: two fingerprints that differ in at most r bits agree
 under at least one mask. No pair is missed.
 
+For ``drop_near_copies`` two fingerprints are combined: that of the words, whose few differing bits the masks can cover,
+and that of the five-word shingles, which is tested.
+
 Only distinct fingerprints are looked up. A bucket (mask, masked value) of more than ``BUCKET`` fingerprints is cut
 by the same construction on the bits its mask leaves free, again until it is small or free bits cannot exceed
-the radius, where all its members are linked. So no task compares more than a bounded bucket, no pairs of a
+the radius, where all its members are linked (or all bits agree). So no task compares more than a bounded bucket, no pairs of a
 bucket leave it (only a spanning forest does), and every link still joins the same component.
 """
 
@@ -31,8 +34,10 @@ SEED = 42
 BUCKET = 16384
 #: Hashes whose bits are counted at once: bounds memory for very long texts.
 CHUNK = 1 << 15
-#: Up to so many dropped keys are sent to every executor (16 MB of longs); more are shuffled.
-BROADCAST_KEYS = 2_000_000
+#: Radius of word fingerprints: texts whose five-word shingles have a Jaccard similarity of 0.8 differ in 4 bits on average.
+WORD_RADIUS = 6
+#: Up to so many dropped keys (about 100 bytes each) are sent to every executor; more are shuffled.
+BROADCAST_KEYS = 500_000
 
 
 def fingerprint_of(text: str, words: int) -> int:
@@ -58,18 +63,41 @@ def fingerprint_of(text: str, words: int) -> int:
     return int(sum(1 << int(i) for i in np.flatnonzero(2 * ones > n)))
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
-    """(key, fingerprint as long) of each row; null text is the empty text, whose fingerprint is 0."""
-    rows = docs.select(F.col(key), text_or_empty(text).alias("_text"))
-    kind = rows.schema[key].dataType
+def word_fingerprint(text: str) -> int:
+    """Weighted majority bits over a text's distinct words, each weighing its bytes (12 at most); no words gives 0.
+
+    A changed word touches as many shingles as a shingle has words but only one word, so near copies differ in
+    fewer bits here than in ``fingerprint_of``.
+    """
+    words = sorted(set(text.encode("utf-8", "surrogatepass").lower().split()))
+    score = np.zeros(64, np.int64)
+    for low in range(0, len(words), CHUNK):
+        part = words[low : low + CHUNK]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in part), np.uint64, len(part))
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+        score += np.fromiter((min(len(w), 12) for w in part), np.int64, len(part)) @ (2 * bits - 1)
+    return int(sum(1 << int(i) for i in np.flatnonzero(score > 0)))
+
+
+def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, by_words: bool = False) -> DataFrame:
+    """All columns of ``docs`` but the text, with ``mark`` and ``other`` (longs); null text is the empty text.
+
+    ``mark`` is the fingerprint of the shingles and ``other`` 0, or with ``by_words`` that of the words and of the shingles.
+    """
+    rest = [c for c in docs.columns if c != text]
+    rows = docs.select(*rest, text_or_empty(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            marks = np.fromiter((fingerprint_of(texts[i].as_py(), words) for i in range(len(texts))), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], [key, "fingerprint"])
+            *others, texts = batch.columns
+            n = len(texts)
+            shingled = np.fromiter((fingerprint_of(texts[i].as_py(), words) for i in range(n)), np.uint64, n)
+            marks = [shingled, np.zeros(n, np.uint64)]
+            if by_words:
+                marks = [np.fromiter((word_fingerprint(texts[i].as_py()) for i in range(n)), np.uint64, n), shingled]
+            yield pa.RecordBatch.from_arrays([*others, *(pa.array(m.view(np.int64)) for m in marks)], [*rest, "mark", "other"])
 
-    return rows.mapInArrow(run, f"`{key}` {kind.simpleString()}, fingerprint long")
+    return rows.mapInArrow(run, docs.select(*rest).schema.add("mark", "long").add("other", "long"))
 
 
 def covering_masks(free: int, radius: int, level: int = 0) -> list[int]:
@@ -92,89 +120,108 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _links(marks: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs within the radius, by growing from one fingerprint after the other."""
-    left, edges = marks.view(np.uint64), []
-    while len(left):
-        front, left = [left[0]], left[1:]
-        while front and len(left):
-            at = front.pop()
-            near = np.bitwise_count(left ^ at) <= radius
+def _links(marks: np.ndarray, others: np.ndarray, nodes: np.ndarray, radius: int, other_radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs within both radii, by growing from one fingerprint after the other."""
+    edges = []
+    while len(nodes):
+        front = [(marks[0], others[0], nodes[0])]
+        marks, others, nodes = marks[1:], others[1:], nodes[1:]
+        while front and len(nodes):
+            mark, other, node = front.pop()
+            near = np.bitwise_count(marks ^ mark) <= radius
+            if other_radius < 64:
+                near &= np.bitwise_count(others ^ other) <= other_radius
             if near.any():
-                found = left[near]
-                edges.extend((int(at.view(np.int64)), int(x)) for x in found.view(np.int64))
-                front.extend(found)
-                left = left[~near]
+                edges.extend((int(node), int(x)) for x in nodes[near])
+                front.extend(zip(marks[near], others[near], nodes[near], strict=True))
+                marks, others, nodes = marks[~near], others[~near], nodes[~near]
     return edges
 
 
-def _link_buckets(buckets: DataFrame, radius: int) -> DataFrame:
-    """Edges inside bounded buckets; whole buckets lie in one task, sorted by bucket."""
+def _link_buckets(buckets: DataFrame, radius: int, other_radius: int) -> DataFrame:
+    """Edges (a, b) of nodes inside bounded buckets; whole buckets lie in one task, sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest_b, rest_m = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def edges_of(bucket: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
-            cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-            edges = [e for part in np.split(marks, cuts) for e in _links(part, radius)]
-            a, b = (np.array(x, np.int64) for x in zip(*edges, strict=True)) if edges else (rest_b[:0], rest_b[:0])
+        rest = np.empty((4, 0), np.int64)
+
+        def edges_of(rows: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
+            edges = []
+            for part in np.split(rows, cuts, axis=1):
+                edges += _links(part[1].view(np.uint64), part[2].view(np.uint64), part[3], radius, other_radius)
+            a, b = np.array(edges, np.int64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
-            bucket = np.concatenate([rest_b, batch.column(0).to_numpy(zero_copy_only=False)])
-            marks = np.concatenate([rest_m, batch.column(1).to_numpy(zero_copy_only=False)])
-            if not len(bucket):
+            if not batch.num_rows:
                 continue
-            last = int(np.searchsorted(-(bucket != bucket[-1]).astype(np.int8), 0))
-            rest_b, rest_m = bucket[last:], marks[last:]
+            rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
+            # The last bucket may go on in the next batch.
+            last = int(np.flatnonzero(rows[0] == rows[0, -1])[0])
+            rest = rows[:, last:]
             if last:
-                yield edges_of(bucket[:last], marks[:last])
-        if len(rest_b):
-            yield edges_of(rest_b, rest_m)
+                yield edges_of(rows[:, :last])
+        if rest.shape[1]:
+            yield edges_of(rest)
 
-    return buckets.select("bucket", "mark").mapInArrow(run, "a long, b long")
+    return buckets.select("bucket", "mark", "other", "node").mapInArrow(run, "a long, b long")
 
 
-def link_fingerprints(ws: Workspace, marks: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET) -> DataFrame:
-    """Edges (a, b) that join fingerprints exactly as all pairs within ``radius`` bits do.
+def link_fingerprints(
+    ws: Workspace, marks: DataFrame, radius: int = RADIUS, other_radius: int = 64, bucket_limit: int = BUCKET
+) -> DataFrame:
+    """Edges (a, b) that join nodes exactly as all pairs within ``radius`` and ``other_radius`` bits do.
 
-    ``marks`` has distinct longs ``mark``. ``fixed`` are the bits a bucket agrees on.
+    ``marks`` has (node, mark, other), a node for each distinct pair of fingerprints. The radius of the second one is
+    only tested (64 tests nothing); the masks cover the first.
     """
-    every = (1 << 64) - 1
-    edges, level = None, 0
-    # A path names the masks taken so far; together they fix known bits.
-    current = marks.select("mark", F.lit("").alias("path"), F.lit(0).cast("long").alias("fixed"), F.lit(0).cast("long").alias("bucket"))
-    paths = {"": 0}
+    every, level = (1 << 64) - 1, 0
+    edges = None
+    # A path is a sequence of masks taken so far, by number; together they fix known bits.
+    fixed_by = {0: 0}
+    current = marks.select("mark", "other", "node", F.lit(0).alias("path"))
     while True:
-        wider: dict[str, int] = {}
         table = []
-        for path, fixed in paths.items():
-            for i, m in enumerate(covering_masks(every & ~fixed, radius, level)):
-                wider[f"{path}/{i}"] = fixed | m
-                table.append((path, f"{path}/{i}", _signed(fixed | m)))
-        steps = ws.spark.createDataFrame(table, "path string, further string, mask long")
-        spread = current.drop("fixed", "bucket").join(F.broadcast(steps), "path").select(
-            "mark", F.col("further").alias("path"), F.col("mask").alias("fixed"),
-            F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"),
+        for path, fixed in fixed_by.items():
+            for m in covering_masks(every & ~fixed, radius, level):
+                table.append((path, len(table), _signed(fixed | m)))
+        steps = ws.spark.createDataFrame(table, "path int, further int, mask long")
+        spread = current.join(F.broadcast(steps), "path").select(
+            F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"), "mark", "other", "node", "further"
         )
-        members = spread.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
-        members = ws.write(members.where("n > 1"), f"buckets-{level}")
-        free = 64 - F.bit_count("fixed")
-        fits = members.where((F.col("n") <= bucket_limit) & (free > radius))
-        fits = fits.repartition("bucket").sortWithinPartitions("bucket")
-        found = _link_buckets(fits, radius)
-        # All free bits may differ: any two members are within the radius, so a star joins them.
-        narrow = members.where(free <= radius).withColumn("value", F.col("mark").bitwiseAND(F.col("fixed")))
-        least = narrow.groupBy("value", "path").agg(F.min("mark").alias("b"))
-        stars = narrow.join(least, ["value", "path"]).select(F.col("mark").alias("a"), "b")
-        found = ws.write(found.unionByName(stars).where("a <> b").distinct(), f"links-{level}")
+        members = spread.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
+        members = ws.write(members, f"buckets-{level}")
+        # Where all free bits may differ and nothing else is tested, any two members are within the radius.
+        narrow = [further for _, further, mask in table if 64 - (mask & every).bit_count() <= radius] if other_radius >= 64 else []
+        is_narrow = F.col("further").isin(narrow) if narrow else F.lit(False)
+        # Nodes with equal first fingerprints (only their second ones differ) cannot be cut further.
+        whole = [further for _, further, mask in table if mask & every == every]
+        fits = (F.col("n") <= bucket_limit) | (F.col("further").isin(whole) if whole else F.lit(False))
+        small = members.where(fits & ~is_narrow)
+        found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
+        if narrow:
+            masks = F.broadcast(steps.select("further", "mask"))
+            tight = members.where(is_narrow).join(masks, "further").withColumn("value", F.col("mark").bitwiseAND(F.col("mask")))
+            least = tight.groupBy("further", "value").agg(F.min("node").alias("b"))
+            found = found.unionByName(tight.join(least, ["further", "value"]).select(F.col("node").alias("a"), "b"))
+        found = ws.write(found.where("a <> b").distinct(), f"links-{level}")
         edges = found if edges is None else edges.unionByName(found)
-        large = members.where((F.col("n") > bucket_limit) & (free > radius))
-        used = [r.path for r in large.select("path").distinct().collect()]  # masks, not data
+        large = members.where(~fits & ~is_narrow)
+        used = {r.further for r in large.select("further").distinct().collect()}  # masks, not data
         if not used:
             return edges
-        current, level = large.select("mark", "path", "fixed", "bucket"), level + 1
-        paths = {p: wider[p] for p in used}
+        current, level = large.select("mark", "other", "node", F.col("further").alias("path")), level + 1
+        fixed_by = {further: mask & every for _, further, mask in table if further in used}
+
+
+def _with_roots(ws: Workspace, marked: DataFrame, radius: int, other_radius: int) -> tuple[DataFrame, DataFrame]:
+    """(marked rows, (mark, other, root)): root is one number for each component of linked fingerprints."""
+    marked = ws.write(marked, "fingerprints")
+    nodes = ws.write(marked.select("mark", "other").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+    links = link_fingerprints(ws, nodes, radius, other_radius)
+    linked = smallest_reachable(ws, links)
+    roots = nodes.join(linked, "node", "left").select("mark", "other", F.coalesce("root", "node").alias("root"))
+    return marked, roots
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = RADIUS) -> DataFrame:
@@ -186,52 +233,47 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     not looked at; an empty table gives an empty result.
     """
     ws = Workspace(docs.sparkSession, "simhash")
-    marked = ws.write(fingerprints(docs, key, text, words), "fingerprints")
-    classes = ws.write(marked.groupBy(F.col("fingerprint").alias("mark")).agg(F.min(key).alias("smallest")), "classes")
-    links = link_fingerprints(ws, classes.select("mark"), radius)
-    groups = smallest_reachable(ws, links)
-    # Only fingerprints with a link to another one: most rows need no look at the groups.
-    grouped = groups.join(classes, groups.node == classes.mark).select("node", "root", "smallest")
-    ids = grouped.groupBy("root").agg(F.min("smallest").alias("component"))
-    mapped = grouped.select("node", "root").join(ids, "root").select("node", "component")
-    known = classes.join(mapped, classes.mark == mapped.node, "left").select(
-        "mark", F.coalesce("component", "smallest").alias("component_id")
-    )
-    return marked.join(known, marked.fingerprint == known.mark).select(
-        F.col(key), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    marked, roots = _with_roots(ws, fingerprints(docs.select(key, text), text, words), radius, 64)
+    # Per fingerprint first: a group of copies is one row before its component is added up.
+    smallest = marked.groupBy("mark", "other").agg(F.min(key).alias("least"))
+    known = ws.write(smallest.join(roots, ["mark", "other"]), "known")
+    ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = known.join(ids, "root").select("mark", "component_id")
+    return marked.join(known, "mark").select(
+        F.col(key), F.lpad(F.lower(F.hex("mark")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = RADIUS) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = WORD_RADIUS, similarity: float = 0.8
+) -> DataFrame:
     """One row of each near-duplicate class of ``docs`` (all columns): the one with the smallest key.
 
-    A key that occurs on several staying rows stays once. A class without any key stays with one of its rows.
+    Two texts are near duplicates if the fingerprints of their five-word shingles agree as those of texts of this
+    cosine similarity do (0.8: 13 of 64 bits may differ) and those of their words differ in at most ``radius`` bits;
+    classes are the components. Rows without key come last in a class; of rows equal in key and text one stays.
     """
     ws = Workspace(docs.sparkSession, "near-copies")
-    classes = ws.write(near_classes(docs.select(key, text), key, text, words, radius), "classes")
-    gone = classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    gone = ws.write(gone, "gone")
+    sha = F.sha2(text_or_empty(text), 256)
+    allowed = int(64 * np.arccos(similarity) / np.pi)
+    rows = docs.select(F.col(key).alias("key"), sha.alias("sha"), F.col(text).alias("_source"))
+    marked, roots = _with_roots(ws, fingerprints(rows, "_source", words, by_words=True), radius, allowed)
+    place = F.struct(F.col("key").isNull().alias("nameless"), "key", "sha")
+    first = marked.groupBy("mark", "other").agg(F.min(place).alias("first"))
+    first = ws.write(first.join(roots, ["mark", "other"]), "first")
+    stays = first.groupBy("root").agg(F.min("first").alias("stays")).select("root", "stays.key", "stays.sha")
+    # Only rows of classes with several rows or fingerprints can go.
+    kept = ws.write(stays.select("key", "sha"), "stays")
+    same = [F.col("m.key").eqNullSafe(F.col("s.key")), F.col("m.sha") == F.col("s.sha")]
+    gone = ws.write(
+        marked.alias("m").join(kept.alias("s"), same, "left_anti").select(F.col("key").alias("_key"), F.col("sha").alias("_sha")).distinct(), "gone"
+    )
+    twice = marked.groupBy("key", "sha").count().where("count > 1").select(F.col("key").alias("_key"), F.col("sha").alias("_sha"))
+    twice = ws.write(twice, "twice")
+    found = [F.col(key).eqNullSafe(F.col("_key")), sha == F.col("_sha")]
     small = gone.count() <= BROADCAST_KEYS
-    keyed = docs.where(F.col(key).isNotNull())
-    stay = keyed.join(F.broadcast(gone) if small else gone, F.col(key) == F.col("_gone"), "left_anti")
-    twice = classes.where(F.col(key) == F.col("component_id")).groupBy(key).count().where("count > 1")
-    twice = ws.write(twice.select(F.col(key).alias("_twice")), "twice")
-    if not twice.isEmpty():
-        found = F.col(key) == F.col("_twice")
-        once = stay.join(twice, found, "left_semi").dropDuplicates([key])
-        stay = stay.join(twice, found, "left_anti").unionByName(once)
-    nameless = classes.where(F.col(key).isNull() & F.col("component_id").isNull())
-    if nameless.isEmpty():
+    stay = docs.join(F.broadcast(gone) if small else gone, found, "left_anti")
+    if twice.isEmpty():
         return stay
-    marks = ws.write(nameless.select("fingerprint").distinct(), "nameless")
-    # Of each class without keys one fingerprint stays, and one text of those that have it.
-    mark = F.conv("fingerprint", 16, -10).cast("long")
-    links = link_fingerprints(ws, marks.select(mark.alias("mark")), radius)
-    later = smallest_reachable(ws, links).where("node <> root").select(F.col("node").alias("mark"))
-    texts = docs.where(F.col(key).isNull()).select(F.coalesce(text, F.lit("")).alias("_text")).distinct()
-    texts = texts.withColumn("_own", F.col("_text"))
-    marked = fingerprints(texts, "_own", "_text", words).withColumnRenamed("fingerprint", "mark")
-    chosen = marked.join(later, "mark", "left_anti").join(marks.select(mark.alias("mark")), "mark", "left_semi")
-    chosen = chosen.groupBy("mark").agg(F.min("_own").alias("_own"))
-    rows = docs.where(F.col(key).isNull()).withColumn("_own", F.coalesce(text, F.lit("")))
-    return stay.unionByName(rows.join(chosen, "_own", "left_semi").dropDuplicates(["_own"]).drop("_own"))
+    once = stay.join(twice, found, "left_semi").dropDuplicates([key, text])
+    return stay.join(twice, found, "left_anti").unionByName(once)
