@@ -25,7 +25,7 @@ from .shared import text_or_empty
 
 MARK = "▁"
 #: A worker forgets its counts beyond so many cuts.
-CACHE = 1_000_000
+CACHE = 500_000
 #: Texts whose new cuts are merged together.
 BATCH = 128
 

@@ -41,7 +41,7 @@ SIGNIFICANCE = 0.05
 #: Up to so many rejected keys are sent to every executor; more are shuffled.
 BROADCAST_KEYS = 500_000
 #: A worker forgets its word scores beyond so many words.
-CACHE = 1_000_000
+CACHE = 300_000
 WORD = re.compile(r"\w+")
 
 

@@ -32,10 +32,10 @@ from .shared import text_or_empty
 
 #: Share of all word occurrences from which a word is compiled; 1 / FREQUENT bounds the automaton.
 FREQUENT = 1e-6
-#: A worker forgets what it knows of words beyond so many.
-CACHE = 500_000
-#: Distinct words counted by a task before they are sent on.
-FLUSH = 500_000
+#: A worker forgets rare chunks when it knows so many, all if half of them are frequent.
+CACHE = 250_000
+#: Distinct chunks counted by a task before they are sent on.
+FLUSH = 200_000
 #: Characters for which this module's cutting is the same as the library's in every Unicode version.
 PLAIN = re.compile(r"[^\n\t\r -~\xa1-\xac\xae-įĲ-ž–-…]")
 
@@ -308,31 +308,39 @@ class Encoder:
         self.cutter, self.merge = WordCutter(vocabulary), Merger(vocabulary)
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, str] = {}
+        self.frequent: list[str] = []
         self.tokens = {i: t for t, i in [*vocabulary.ids.items(), *vocabulary.special.items()]}
 
-    def word_ids(self, words: list[str]) -> list[list[int]]:
-        a = self.automaton
-        places = a.places([w.encode("utf-8", "surrogatepass") for w in words]).tolist()
-        unseen = iter(self.merge([w for w, place in zip(words, places, strict=True) if place < 0]))
-        starts, ids = a.offsets, a.ids
-        return [ids[starts[p] : starts[p + 1]].tolist() if p >= 0 else next(unseen) for p in places]
-
     def learn(self, chunks: list[str]) -> None:
         """Ids and decoding, as text, of new chunks."""
-        words = [self.cutter.words_of(c) for c in chunks]
-        new = list(set().union(*words))
-        ids = dict(zip(new, self.word_ids(new), strict=True))
-        tokens = self.tokens
-        for chunk, parts in zip(chunks, words, strict=True):
+        cut = [self.cutter.words_of(c) for c in chunks]
+        words, a = list(set().union(*cut)), self.automaton
+        places = a.places([w.encode("utf-8", "surrogatepass") for w in words]).tolist()
+        unseen = [w for w, place in zip(words, places, strict=True) if place < 0]
+        ids = dict(zip(unseen, self.merge(unseen), strict=True))
+        for word, place in zip(words, places, strict=True):
+            if place >= 0:
+                ids[word] = a.ids[a.offsets[place] : a.offsets[place + 1]].tolist()
+        tokens, rare = self.tokens, set(unseen)
+        for chunk, parts in zip(chunks, cut, strict=True):
             found = [i for w in parts for i in ids[w]]
             self.ids[chunk] = " ".join(map(str, found))
             self.decoded[chunk] = " ".join([tokens[i] for i in found])
+            if rare.isdisjoint(parts):
+                self.frequent.append(chunk)
+
+    def forget(self) -> None:
+        """Drops all but chunks of compiled words; those too if they are many."""
+        if len(self.frequent) > CACHE // 2:
+            self.frequent = []
+        self.ids = {c: self.ids[c] for c in self.frequent}
+        self.decoded = {c: self.decoded[c] for c in self.frequent}
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """Per text: number of tokens, decimal ids joined by spaces, decoded text."""
         chunks = [self.cutter.chunks(t) for t in texts]
         if len(self.ids) > CACHE:
-            self.ids, self.decoded = {}, {}
+            self.forget()
         self.learn(list(set().union(*chunks) - self.ids.keys()))
         for own in chunks:
             ids = " ".join(map(self.ids.__getitem__, own))
