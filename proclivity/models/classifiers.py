@@ -44,6 +44,47 @@ WEIGHTS = {
 }
 
 
+_TREE = {"criterion", "max_depth", "min_samples_split", "min_samples_leaf", "max_features"}
+# Parameters each kind acts on; anything else is an error.
+PARAMETERS = {
+    "GradientBoosting": {"n_estimators", "learning_rate", "subsample", *_TREE} - {"criterion"},
+    "LogisticRegression": {"C", "penalty", "max_iter", "fit_intercept"},
+    "AdaBoost": {"n_estimators", "learning_rate", *_TREE} - {"max_features", "criterion"},
+    "DecisionTree": _TREE,
+    "RandomForestClassifier": {"n_estimators", "bootstrap", *_TREE},
+    "ExtraTreesClassifier": {"n_estimators", "bootstrap", *_TREE},
+    "GaussianNB": {"var_smoothing"},
+    "KNeighborsClassifier": {"n_neighbors", "weights", "p"},
+    "MLPClassifier": {"hidden_layer_sizes", "max_iter"},
+}
+
+
+def check_parameters(kind: str, p: dict) -> None:
+    """Raises on parameters the kind would ignore, before any job runs.
+
+    A split size is accepted only where it cannot act: each side of a split has ``min_samples_leaf`` rows anyway.
+    """
+    unknown = sorted(set(p) - PARAMETERS[kind])
+    if unknown:
+        raise ValueError(f"{kind} does not support {', '.join(unknown)}; choose from {sorted(PARAMETERS[kind])}")
+    if p.get("min_samples_split", 2) > 2 * p.get("min_samples_leaf", 1):
+        raise ValueError("min_samples_split beyond twice min_samples_leaf is not supported")
+    if p.get("criterion", "gini") not in ("gini", "entropy", "log_loss"):
+        raise ValueError(f"unknown criterion {p['criterion']!r}")
+    if p.get("penalty", "l2") not in ("l1", "l2"):
+        raise ValueError(f"unknown penalty {p['penalty']!r}")
+    _subset(p.get("max_features"))
+
+
+def _subset(value) -> str:
+    """Spark ML's name of a feature subset: a rule, a whole number of features or a share of them."""
+    if isinstance(value, bool) or not (value in _STRATEGY or isinstance(value, (int, float)) and value > 0):
+        raise ValueError(f"unknown max_features {value!r}")
+    if isinstance(value, float) and value > 1:
+        raise ValueError("a share of features is at most 1")
+    return _STRATEGY[value] if value in _STRATEGY else str(value)
+
+
 def _tree_params(p: dict, seed: int) -> dict:
     depth = p.get("max_depth")
     return {
@@ -62,7 +103,7 @@ def _forest(p: dict, seed: int, bootstrap: bool, trees: int = 100) -> RandomFore
         numTrees=p.get("n_estimators", trees),
         impurity=_impurity(p),
         bootstrap=p.get("bootstrap", bootstrap),
-        featureSubsetStrategy=_STRATEGY[p.get("max_features", "sqrt")],
+        featureSubsetStrategy=_subset(p.get("max_features", "sqrt")),
         **_tree_params(p, seed),
     )
 
@@ -92,7 +133,7 @@ def _estimator(kind: str, p: dict, width: int, rows, seed: int):
             maxIter=p.get("n_estimators", 100),
             stepSize=p.get("learning_rate", 0.1),
             subsamplingRate=p.get("subsample", 1.0),
-            featureSubsetStrategy=_STRATEGY[p.get("max_features")],
+            featureSubsetStrategy=_subset(p.get("max_features")),
             **_tree_params({"max_depth": 3, **p}, seed),
         )
     if kind == "MLPClassifier":
@@ -123,6 +164,7 @@ class Classifier(Step):
             raise ValueError(f"unknown weighting {weighting!r}")
         self.kind = kind
         self.settings = dict(params or {})
+        check_parameters(kind, self.settings)
         self.features = features
         self.target = target
         self.key = key

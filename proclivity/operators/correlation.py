@@ -99,11 +99,10 @@ def target_correlations(
 def spearman_with_target(
     df: DataFrame, columns: list[str], target: str = TARGET_COLUMN
 ) -> DataFrame:
-    """Spearman correlation of each column with a 0/1 target, nulls dropped per column.
+    """Spearman correlation of each column with a numeric target, nulls dropped per column.
 
-    A 0/1 target is its own rank up to scale, so only the columns are ranked: rows are counted per
-    (feature, value), average ranks follow from running counts, and the correlation from weighted
-    sums over the distinct values.
+    Rows are counted per (feature, value, target). Average ranks of values and of targets follow from running
+    counts, both among the rows where the feature is known, and the correlation from weighted sums.
     """
     y = col(target).cast("double")
     long = (
@@ -111,25 +110,24 @@ def spearman_with_target(
         .selectExpr(f"{as_double(target)} AS __y", *[f"{as_double(c)} AS {ident(c)}" for c in columns])
         .unpivot(["__y"], columns, "feature", "value")
         .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("pos"))
+        .groupBy("feature", "value", "__y")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_sums(long, ["feature"], "value", ["n"])
-    rank = F.col("n_upto") - (F.col("n") - 1) / 2
-    sums = ranked.groupBy("feature").agg(
+
+    def ranks(of: str, name: str) -> DataFrame:
+        counts = long.groupBy("feature", F.col(of).alias("value")).agg(F.sum("n").alias("n"))
+        ranked = running_sums(counts, ["feature"], "value", ["n"])
+        return ranked.select("feature", F.col("value").alias(of), (F.col("n_upto") - (F.col("n") - 1) / 2).alias(name))
+
+    placed = long.join(ranks("value", "rx"), ["feature", "value"]).join(ranks("__y", "ry"), ["feature", "__y"])
+    weighted = {"x": "rx", "y": "ry", "xx": "rx * rx", "yy": "ry * ry", "xy": "rx * ry"}
+    sums = placed.groupBy("feature").agg(
         F.sum("n").cast("double").alias("n"),
-        F.sum("pos").alias("y"),
-        F.sum(F.col("n") * rank).alias("r"),
-        F.sum(F.col("n") * rank * rank).alias("rr"),
-        F.sum(F.col("pos") * rank).alias("ry"),
-    )
-    n = F.col("n")
-    spread = F.sqrt(n * F.col("rr") - F.col("r") * F.col("r")) * F.sqrt(
-        n * F.col("y") - F.col("y") * F.col("y")
+        *[F.sum(F.expr(f"n * {product}")).alias(name) for name, product in weighted.items()],
     )
     return sums.select(
         "feature",
-        F.try_divide(n * F.col("ry") - F.col("r") * F.col("y"), spread).alias("correlation"),
+        F.expr("try_divide(n * xy - x * y, sqrt(n * xx - x * x) * sqrt(n * yy - y * y))").alias("correlation"),
     )
 
 

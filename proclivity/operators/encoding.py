@@ -92,6 +92,8 @@ class OneHotModel(FittedStep):
                 source = f"CASE WHEN {' OR '.join(known)} THEN {source} ELSE raise_error({message}) END"
             for v in values:
                 name = f"{c}_{NULL_NAME if v is None else v}"
+                if name in hot or (name in df.columns and name not in categories):
+                    raise ValueError(f"two columns would be named {name}; rename a column or a category")
                 hot[name] = f"CAST({source} <=> {text(v)} AS DOUBLE)"
         return with_expressions(df, hot, drop=set(categories))
 

@@ -40,7 +40,7 @@ def hash_cuts(
     that no row lies at or below the cut. The number of classes is checked first, as everything
     per class is broadcast afterwards.
     """
-    _class_sizes(df, target)
+    _class_sizes(df, target, required=True)
     hashed = df.select(col(target).alias("__class"), split_hash(key, seed).alias("__hash"))
     head = F.substring("__hash", 1, prefix)
     by_prefix = hashed.groupBy("__class", head.alias("__head")).agg(F.count(F.lit(1)).alias("n"))
@@ -141,7 +141,8 @@ def stratified_folds(
     )
 
 
-def _class_sizes(df: DataFrame, target: str) -> dict:
+def _class_sizes(df: DataFrame, target: str, required: bool = False) -> dict:
+    """Rows by class; with ``required`` a row without class is an error."""
     rows = (
         df.groupBy(col(target).alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -150,6 +151,8 @@ def _class_sizes(df: DataFrame, target: str) -> dict:
     )
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    if required and any(r["label"] is None for r in rows):
+        raise ValueError(f"rows without {target} cannot be split by class; fill or remove them first")
     return {r["label"]: r["n"] for r in rows if r["label"] is not None}
 
 

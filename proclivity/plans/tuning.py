@@ -26,11 +26,9 @@ _FOREST_SPACE = {
     "n_estimators": ("int", 100, 500),
     "criterion": ("one", ["gini", "entropy", "log_loss"]),
     "max_depth": ("int", 3, 15),
-    "min_samples_split": ("int", 2, 20),
     "min_samples_leaf": ("int", 1, 15),
     "bootstrap": ("one", [True, False]),
     "max_features": ("one", ["sqrt", "log2"]),
-    "max_leaf_nodes": ("int", 10, 100),
 }
 SPACES: dict[str, dict] = {
     "GradientBoosting": {
@@ -38,9 +36,7 @@ SPACES: dict[str, dict] = {
         "learning_rate": ("log", 0.01, 0.3),
         "subsample": ("float", 0.5, 1.0),
         "max_features": ("one", ["sqrt", "log2", None]),
-        "max_leaf_nodes": ("int", 10, 50),
         "max_depth": ("int", 2, 5),
-        "min_samples_split": ("int", 2, 20),
         "min_samples_leaf": ("int", 1, 10),
     },
     "LogisticRegression": {
@@ -50,14 +46,12 @@ SPACES: dict[str, dict] = {
     },
     "AdaBoost": {
         "max_depth": ("int", 1, 4),
-        "min_samples_split": ("int", 2, 8),
         "min_samples_leaf": ("int", 1, 8),
         "n_estimators": ("int", 50, 300),
         "learning_rate": ("log", 0.01, 1.0),
     },
     "DecisionTree": {
         "max_depth": ("int", 3, 10),
-        "min_samples_split": ("int", 2, 20),
         "min_samples_leaf": ("int", 5, 30),
         "max_features": ("one", ["sqrt", "log2", None]),
     },

@@ -26,7 +26,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header under a declared schema; columns are matched by name, not by position.
 
-    The header is read once to order the schema; a declared column the file lacks becomes null.
+    The header is read once to order the schema; a declared column the file lacks becomes null. Columns the
+    schema lacks follow the declared ones, as text.
     """
     header = spark.read.option("header", True).csv(path).columns
     declared = {f.name: f for f in schema.fields}
@@ -38,7 +39,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         (col(f.name) if f.name in header else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ]
-    return nan_to_null(df.select(*columns))
+    return nan_to_null(df.select(*columns, *[col(c) for c in header if c not in declared]))
 
 
 def load_train_data(
@@ -57,7 +58,13 @@ def load_test_data(
 
 def _load(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
-        return nan_to_null(spark.read.schema(schema).parquet(path))
+        df = spark.read.parquet(path)
+        declared = {f.name for f in schema.fields}
+        columns = [
+            (col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+        return nan_to_null(df.select(*columns, *[col(c) for c in df.columns if c not in declared]))
     return read_csv(spark, path, schema)
 
 
