@@ -351,12 +351,12 @@ class Encoder:
 _worker: dict[str, Encoder] = {}
 
 
-def _kept(name: str, shared: Broadcast) -> Encoder:
-    if name not in _worker:
+def _kept(call: str, shared: Broadcast) -> Encoder:
+    if call not in _worker:
         _worker.clear()
         vocabulary, packed = shared.value
-        _worker[name] = Encoder(vocabulary, Automaton.mapped(*packed))
-    return _worker[name]
+        _worker[call] = Encoder(vocabulary, Automaton.mapped(*packed))
+    return _worker[call]
 
 
 def encode(ws, docs: DataFrame, tokenizer_file: str, text: str = "text", digests: bool = False, frequent: float = FREQUENT) -> DataFrame:
@@ -372,7 +372,7 @@ def encode(ws, docs: DataFrame, tokenizer_file: str, text: str = "text", digests
     vocabulary = Vocabulary.load(tokenizer_file)
     automaton = compile_lexicon(ws, docs, vocabulary, text, frequent)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, automaton.packed()))
-    name = uuid.uuid4().hex
+    call = uuid.uuid4().hex
     schema = rows.drop("_text").schema.add("n_tokens", "long")
     for name in added[1:]:
         schema = schema.add(name, ArrayType(IntegerType()) if name == "ids" else StringType())
@@ -386,7 +386,7 @@ def encode(ws, docs: DataFrame, tokenizer_file: str, text: str = "text", digests
         return [counts, ids, pa.array([t for _, _, t in found], pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _kept(name, shared)
+        encoder = _kept(call, shared)
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 part = batch.slice(low, 64)
