@@ -310,18 +310,7 @@ def outlier_flags(spark, sf):
     ),
 )
 def outlier_split_pairs(spark, sf):
-    df = person_frame(spark, sf)
-    pairs = outliers.split_by_outliers(df, FLAGGED, per_column=True)
-    pairs["ANY"] = outliers.split_by_outliers(df, FLAGGED, per_column=False)
-    parts = [
-        side.select(F.lit(name).alias("feature"), F.lit(flag).alias("outlying"))
-        for name, pair in pairs.items()
-        for flag, side in zip((False, True), pair, strict=True)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out.groupBy("feature", "outlying").agg(F.count(F.lit(1)).alias("persons"))
+    return outliers.outlier_sides(person_frame(spark, sf), FLAGGED).withColumnRenamed("rows", "persons")
 
 
 @register(

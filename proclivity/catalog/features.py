@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from proclivity.catalog.person_sql import with_persons
 from proclivity.catalog.registry import register
-from proclivity.catalog.stages_sql import CATEGORIES, NUM, TEXT, each, mode_of, onehot_list, r6
+from proclivity.catalog.stages_sql import CATEGORIES, NUM, RANKED, TEXT, each, mode_of, onehot_list, r6
 from proclivity.catalog.support import rounded
 from proclivity.functions.columns import col, half_even, last_name_part, safe_divide
 from proclivity.operators import encoding, preprocessing, profiling, scaling, splitting
@@ -221,17 +221,11 @@ def preprocessor_tree(spark, sf):
 
 # Splits --------------------------------------------------------------------------------------
 
-_RANKED = (
-    "ranked AS (SELECT *, row_number() OVER (PARTITION BY TARGET_B ORDER BY "
-    "md5(CAST(CONTROL_NUMBER AS VARCHAR) || ':{seed}')) AS r, count(*) OVER (PARTITION BY TARGET_B) AS n FROM persons)"
-)
-
-
 @register(
     "stratified_split",
     with_persons(
         "SELECT CONTROL_NUMBER, TARGET_B, CASE WHEN r <= round(0.7 * n) THEN 'train' ELSE 'val' END AS split FROM ranked",
-        _RANKED.format(seed=5),
+        RANKED.format(seed=5),
     ),
 )
 def stratified_split(spark, sf):
@@ -265,7 +259,7 @@ def approximate_split(spark, sf):
     with_persons(
         "SELECT CONTROL_NUMBER, TARGET_B, CAST((SELECT count(*) FROM range(1, 5) AS c(i) "
         "WHERE r > floor(n * i / 5)) AS INTEGER) AS fold FROM ranked",
-        _RANKED.format(seed=1),
+        RANKED.format(seed=1),
     ),
 )
 def stratified_folds(spark, sf):
@@ -277,7 +271,7 @@ def stratified_folds(spark, sf):
     with_persons(
         f"SELECT split, count(*) AS rows, 39 AS columns, {r6('avg(TARGET_B)')} AS target_rate FROM ("
         "SELECT *, CASE WHEN r <= round(0.7 * n) THEN 'train' ELSE 'val' END AS split FROM ranked) GROUP BY 1",
-        _RANKED.format(seed=5),
+        RANKED.format(seed=5),
     ),
 )
 def split_report(spark, sf):

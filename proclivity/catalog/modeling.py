@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from proclivity.catalog.person_sql import with_persons
 from proclivity.catalog.registry import register
-from proclivity.catalog.stages_sql import each, r6
+from proclivity.catalog.stages_sql import RANKED, each, r6
 from proclivity.catalog.support import rounded
 from proclivity.models.classifiers import Classifier, baseline_models
 from proclivity.operators import evaluation, model_selection, selection
@@ -72,7 +72,14 @@ def prepared_parts(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     return a, b, [c for c in a.columns if c not in (ID_COLUMN, TARGET_COLUMN)]
 
 
-@register("clean_splits_row_counts")
+@register(
+    "clean_splits_row_counts",
+    with_persons(
+        "SELECT CASE WHEN r <= round(0.7 * n) THEN 'train' ELSE 'val' END AS split, count(*) AS rows, "
+        "avg(TARGET_B) AS target_rate FROM ranked GROUP BY 1",
+        RANKED.format(seed=5),
+    ),
+)
 def clean_splits_row_counts(spark, sf):
     train, val = clean_parts(spark, sf)
     return train.select(F.lit("train").alias("split"), TARGET_COLUMN).unionAll(

@@ -494,44 +494,40 @@ def correlation_heatmap_table(spark, sf):
     )
 
 
-_GAPS = ["DONOR_AGE", "CHILDREN", "INCOME_GROUP", "WEALTH_RATING", "RECENT_AVG_CARD_GIFT_AMT", "PEP_STAR", "URBANICITY"]
-_PAIRS = [(a, b) for i, a in enumerate(_GAPS) for b in _GAPS[i + 1 :]]
+# Null flags of every feature, and their pairs in column order.
+_GAP_CTES = (
+    "marks AS (SELECT CONTROL_NUMBER, " + each(FEATURES, lambda c: f"CAST({c} IS NULL AS INT) AS {c}") + " FROM persons)",
+    "gaps AS (SELECT CONTROL_NUMBER, feature, g FROM (UNPIVOT marks ON " + ", ".join(FEATURES) + " INTO NAME feature VALUE g))",
+    "pairs AS (SELECT a.feature AS feature_a, b.feature AS feature_b, a.g AS ga, b.g AS gb "
+    "FROM gaps AS a JOIN gaps AS b ON a.CONTROL_NUMBER = b.CONTROL_NUMBER AND a.feature < b.feature)",
+)
+_OVERLAPS = "SELECT feature_a, feature_b, count(*) FILTER (ga + gb = 2) AS count FROM pairs GROUP BY ALL"
 
 
 @register(
     "null_flag_correlations",
     with_persons(
-        f"SELECT feature_a, feature_b, {r6('c')} AS correlation FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, covar_samp(CAST({a} IS NULL AS INT), CAST({b} IS NULL AS INT)) / "
-            f"nullif(stddev_samp(CAST({a} IS NULL AS INT)) * stddev_samp(CAST({b} IS NULL AS INT)), 0) AS c FROM persons"
-            for a, b in _PAIRS
-        )
-        + ")"
+        f"SELECT feature_a, feature_b, {r6('covar_samp(ga, gb) / nullif(stddev_samp(ga) * stddev_samp(gb), 0)')} AS correlation "
+        "FROM pairs GROUP BY ALL",
+        *_GAP_CTES,
     ),
 )
 def null_flag_correlations(spark, sf):
-    patterns = missingness.missingness_patterns(person_frame(spark, sf), _GAPS)
+    patterns = missingness.missingness_patterns(person_frame(spark, sf), FEATURES)
     return rounded(patterns["correlations"])
 
 
-_OVERLAPS = " UNION ALL ".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) FILTER ({a} IS NULL AND {b} IS NULL) AS count FROM persons"
-    for a, b in _PAIRS
-)
-
-
-@register("null_overlap_counts", with_persons(_OVERLAPS))
+@register("null_overlap_counts", with_persons(_OVERLAPS, *_GAP_CTES))
 def null_overlap_counts(spark, sf):
-    return missingness.missingness_patterns(person_frame(spark, sf), _GAPS)["overlaps"]
+    return missingness.missingness_patterns(person_frame(spark, sf), FEATURES)["overlaps"]
 
 
 @register(
     "null_overlap_top",
-    with_persons(f"SELECT * FROM ({_OVERLAPS}) ORDER BY count DESC, feature_a, feature_b LIMIT 10"),
+    with_persons(f"SELECT * FROM ({_OVERLAPS}) ORDER BY count DESC, feature_a, feature_b LIMIT 10", *_GAP_CTES),
 )
 def null_overlap_top(spark, sf):
-    return correlation.overlap_counts(person_frame(spark, sf), _GAPS, top_n=10)
+    return correlation.overlap_counts(person_frame(spark, sf), FEATURES, top_n=10)
 
 
 @register(

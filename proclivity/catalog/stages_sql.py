@@ -42,6 +42,13 @@ def unpivoted(source: str, columns, measure, sep: str = "\nUNION ALL\n") -> str:
     return sep.join(f"SELECT '{c}' AS feature, {measure(c)} FROM {source}" for c in columns)
 
 
+# Persons by class, in the hash order of the stratified split.
+RANKED = (
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY TARGET_B ORDER BY "
+    "md5(CAST(CONTROL_NUMBER AS VARCHAR) || ':{seed}')) AS r, count(*) OVER (PARTITION BY TARGET_B) AS n FROM persons)"
+)
+
+
 VALID = """
 valid AS (
   SELECT * REPLACE (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from proclivity.catalog.person_sql import with_persons, with_scores
 from proclivity.catalog.registry import register
-from proclivity.catalog.stages_sql import KEYS, NUM, TEXT, r6
+from proclivity.catalog.stages_sql import FEATURES, KEYS, NUM, TEXT, r6, unpivoted
 from proclivity.catalog.stages_sql import rounded as sql_rounded
 from proclivity.catalog.support import rounded, vote_frame
 from proclivity.catalog.votes_sql import VOTE_CTES, VOTES
@@ -141,7 +141,17 @@ def features_without_target(spark, sf):
     return rounded(features.select(*TEXT, *NUM))
 
 
-@register("feature_types")
+_IS_NUMERIC = "feature IN (" + ", ".join(f"'{c}'" for c in NUM) + ")"
+
+
+@register(
+    "feature_types",
+    with_persons(
+        f"SELECT feature, CASE WHEN {_IS_NUMERIC} THEN 'numeric_features' ELSE 'categorical_features' END AS kind, \"values\" FROM ("
+        + unpivoted("persons", FEATURES, lambda c: f'count({c}) AS "values"')
+        + ")"
+    ),
+)
 def feature_types_table(spark, sf):
     df = person_frame(spark, sf)
     kinds = feature_types(df)
@@ -249,7 +259,26 @@ def columns_kept_by_name(spark, sf):
     return rounded(preprocessing.keep_named(df, ["DONOR_AGE", "PEP_STAR", "NO_SUCH_COLUMN"]))
 
 
-@register("feature_group_summary")
+_LISTED = ", ".join(f"'{c}'" for c in FEATURES)
+_CODED = ", ".join(f"'{c}'" for c in preprocessing.CODED_NUMERIC_FEATURES)
+_GAP_TESTS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature FROM persons HAVING avg(CAST({c} IS NULL AS DOUBLE)) >= {preprocessing.HIGH_MISSING_THRESHOLD}"
+    for c in preprocessing.HIGH_MISSING_CANDIDATES
+)
+
+
+@register(
+    "feature_group_summary",
+    with_persons(
+        "SELECT feature_group, count(feature) AS n_features, coalesce(string_agg(feature, ', ' ORDER BY feature), '') AS features "
+        "FROM (SELECT unnest([" + ", ".join(f"'{g}'" for g in preprocessing.GROUPS) + "]) AS feature_group) "
+        "LEFT JOIN placed USING (feature_group) GROUP BY 1",
+        f"gone AS ({_GAP_TESTS})",
+        "placed AS (SELECT feature, CASE WHEN feature IN (FROM gone) THEN 'dropped_high_missing_features' "
+        f"WHEN feature IN ({_CODED}) THEN 'coded_numeric_features' WHEN {_IS_NUMERIC} THEN 'continuous_numeric_features' "
+        f"ELSE 'categorical_features' END AS feature_group FROM (SELECT unnest([{_LISTED}]) AS feature))",
+    ),
+)
 def feature_group_summary(spark, sf):
     df = person_frame(spark, sf)
     return preprocessing.feature_group_summary(df, preprocessing.feature_groups(df))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
-from proclivity.functions.sqltext import as_double, ident, text
+from proclivity.functions.sqltext import as_double, ident
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.profiling import engineered_summary
 from proclivity.operators.running import running_sums
@@ -162,19 +162,38 @@ def ranked_matrix(
 
 
 def null_overlaps(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(feature_a, feature_b, nulls_a, nulls_b, both, n)`` for pairs in column order."""
-    null = [f"{ident(c)} IS NULL" for c in columns]
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    wide = df.selectExpr(
-        "count(1) AS n",
-        *[f"count_if({test}) AS s{i}" for i, test in enumerate(null)],
-        *[f"count_if({null[i]} AND {null[j]}) AS p{i}_{j}" for i, j in pairs],
+    """``(feature_a, feature_b, nulls_a, nulls_b, both, n)`` for pairs in column order.
+
+    Each task reduces its rows to one product of null flags (a number per pair, whatever the row count).
+    A single column gives no pairs; a frame without rows gives zeros.
+    """
+    width = len(columns)
+    first, second = np.triu_indices(width, 1)
+    parts = ["n", "nulls_a", "nulls_b", "both"]
+
+    def count_gaps(batches):
+        rows, total = 0, np.zeros((width, width))
+        for batch in batches:
+            gaps = batch.to_numpy(dtype=float)
+            total += gaps.T @ gaps
+            rows += len(batch)
+        alone = total.diagonal()
+        counts = [np.full(len(first), rows), alone[first], alone[second], total[first, second]]
+        yield pd.DataFrame({p: [c.astype("int64")] for p, c in zip(parts, counts, strict=True)})
+
+    gaps = df.selectExpr(*[f"CAST({ident(c)} IS NULL AS DOUBLE) AS g{i}" for i, c in enumerate(columns)])
+    counted = (
+        gaps.mapInPandas(count_gaps, ", ".join(f"{p} array<bigint>" for p in parts))
+        .select(F.posexplode(F.arrays_zip(*parts)).alias("pair", "v"))
+        .groupBy("pair")
+        .agg(*[F.sum(f"v.{p}").alias(p) for p in parts])
     )
-    cells = ", ".join(
-        f"{text(columns[i])}, {text(columns[j])}, s{i}, s{j}, p{i}_{j}, n" for i, j in pairs
+    names = df.sparkSession.createDataFrame(
+        [(k, columns[i], columns[j]) for k, (i, j) in enumerate(zip(first, second, strict=True))],
+        "pair int, feature_a string, feature_b string",
     )
-    return wide.selectExpr(
-        f"stack({len(pairs)}, {cells}) AS (feature_a, feature_b, nulls_a, nulls_b, both, n)"
+    return names.join(counted, "pair", "left").select(
+        "feature_a", "feature_b", *[F.coalesce(p, F.lit(0)).cast("bigint").alias(p) for p in (*parts[1:], "n")]
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -367,18 +367,15 @@ def fold_summary(fold_metrics: DataFrame, metrics: list[str] | None = None) -> D
 
 
 def first_reaching(table: DataFrame, order: str, share: str, threshold: float = 0.95) -> DataFrame:
-    """``(component, cumulative)`` rows plus the first component at which the sum reaches the mark.
+    """``(component, cumulative_variance, components_needed)``: the first component at which the sum reaches the mark.
 
-    The table has one row per component, so its number of rows is the width of the data.
+    One row per component; the running sum is formed in ranges of the order, so a long table does not meet in
+    one task. If the mark is never reached, all components are needed.
     """
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cumulative = table.select(
-        F.col(order).alias("component"), F.sum(share).over(upto).alias("cumulative_variance")
-    )
-    whole = Window.partitionBy()
-    reached = F.min(
-        F.when(F.col("cumulative_variance") >= threshold, F.col("component"))
-    ).over(whole)
-    return cumulative.withColumn(
-        "components_needed", F.coalesce(reached, F.max("component").over(whole))
+    shares = table.select(F.col(order).alias("component"), F.col(share).alias("share"))
+    cumulative = running_sums(shares, [], "component", ["share"]).select(
+        "component", F.col("share_upto").alias("cumulative_variance")
     )
+    reached = F.min(F.when(F.col("cumulative_variance") >= threshold, F.col("component")))
+    needed = cumulative.agg(F.coalesce(reached, F.max("component")).alias("components_needed"))
+    return cumulative.withColumn("components_needed", needed.scalar())

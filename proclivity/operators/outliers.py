@@ -95,6 +95,17 @@ def split_by_outliers(
     return pair("ANY_OUTLIER")
 
 
+def outlier_sides(df: DataFrame, columns: list[str], factor: float = 1.5) -> DataFrame:
+    """``(feature, outlying, rows)``: sizes of the parts of ``split_by_outliers``, ``ANY`` for any of the columns.
+
+    One fit and one pass over the flags; a part without rows has no line.
+    """
+    flagged = flag_outliers(df, columns, factor)
+    flags = [F.col(f"{c}_OUTLIER").alias(c) for c in columns] + [F.col("ANY_OUTLIER").alias("ANY")]
+    sides = flagged.select(*flags).unpivot([], [*columns, "ANY"], "feature", "outlying")
+    return sides.groupBy("feature", "outlying").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def outlier_counts(
     df: DataFrame, columns: list[str] | None = None, factor: float = 1.5, exclude=()
 ) -> DataFrame:

@@ -23,12 +23,25 @@ CODED_NUMERIC_FEATURES = ["INCOME_GROUP", "WEALTH_RATING"]
 # The four preparation scenarios.
 SCENARIOS = [
     {
-        "scenario_name": f"{'Drop' if drop else 'Keep'} WEALTH_RATING | INCOME_GROUP {role}",
-        "drop_high_missing_features": drop,
-        "income_group_as_categorical": role == "categorical",
-    }
-    for role in ("numeric", "categorical")
-    for drop in (True, False)
+        "scenario_name": "Drop WEALTH_RATING | INCOME_GROUP numeric",
+        "drop_high_missing_features": True,
+        "income_group_as_categorical": False,
+    },
+    {
+        "scenario_name": "Keep WEALTH_RATING | INCOME_GROUP numeric",
+        "drop_high_missing_features": False,
+        "income_group_as_categorical": False,
+    },
+    {
+        "scenario_name": "Drop WEALTH_RATING | INCOME_GROUP categorical",
+        "drop_high_missing_features": True,
+        "income_group_as_categorical": True,
+    },
+    {
+        "scenario_name": "Keep WEALTH_RATING | INCOME_GROUP categorical",
+        "drop_high_missing_features": False,
+        "income_group_as_categorical": True,
+    },
 ]
 
 GROUPS = (

@@ -41,6 +41,10 @@ class _Search:
     inside: int = 0
     distinct: int = 0
     answer: float | None = None
+    # The answer is never outside these; a miss of the bracket moves one of them.
+    least: float = -math.inf
+    most: float = math.inf
+    missed: bool = False
 
     def band(self) -> str:
         c = as_double(self.column)
@@ -120,18 +124,20 @@ def _select(df, columns, probs, rows, exact_values) -> dict[tuple[str, int], flo
     ).first()
     limits = {c: (got[f"lo{i}"], got[f"hi{i}"]) for i, c in enumerate(columns)}
     searches = [
-        _Search(c, r, got[f"e{i}"][2 * j], got[f"e{i}"][2 * j + 1])
+        _Search(c, r, got[f"e{i}"][2 * j], got[f"e{i}"][2 * j + 1], least=limits[c][0], most=limits[c][1])
         for i, c in enumerate(columns)
         for j, r in enumerate(ranks[c])
     ]
     while open_ := [s for s in searches if s.answer is None]:
         _count(df, open_)
         for s in open_:
-            # The sketch keeps its error bound; a miss only widens that side again.
+            # A miss shuts out what was counted; from then on the rest is halved, so the search ends.
             if s.below > s.rank:
-                s.low, s.high, s.inside = limits[s.column][0], s.low, 0
+                s.most = math.nextafter(s.low, -math.inf)
+                s.low, s.high, s.inside, s.missed = s.least, s.most, 0, True
             elif s.below + s.inside <= s.rank:
-                s.low, s.high, s.inside = s.high, limits[s.column][1], 0
+                s.least = math.nextafter(s.high, math.inf)
+                s.low, s.high, s.inside, s.missed = s.least, s.most, 0, True
             elif s.low == s.high:
                 s.answer = s.low
         counted = [s for s in open_ if s.answer is None and s.inside]
@@ -169,6 +175,11 @@ def _finish(df, searches) -> None:
 
 
 def _narrow(df, searches) -> None:
+    for s in searches:
+        if s.missed:
+            s.least, s.most = s.low, s.high
+            s.high = s.low / 2 + s.high / 2
+    searches = [s for s in searches if not s.missed]
     if not searches:
         return
     got = df.selectExpr(
