@@ -25,10 +25,8 @@ MARGIN = 1.25
 
 def fits_one_buffer(df: DataFrame, value: str, exact_values: int = EXACT_VALUES) -> bool:
     """Whether one exact aggregation buffer can hold the values: few rows or few distinct ones."""
-    if df.count() <= exact_values:
-        return True
-    distinct = df.agg(F.approx_count_distinct(col(value)).alias("d")).first()["d"]
-    return MARGIN * distinct <= exact_values
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(col(value)).alias("d")).first()
+    return min(seen["n"], MARGIN * seen["d"]) <= exact_values
 
 
 @dataclass
@@ -68,27 +66,22 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the non-null values of every column.
 
-    A column without values gives nulls. A row count and one aggregation for small frames, one
-    more to find the columns with few distinct values, and two for each bracketing round of the
-    columns with more than ``exact_values`` of them.
+    A column without values gives nulls. One pass finds the columns with few values or few distinct
+    ones, another takes their quantiles; two more for each bracketing round of the columns with more than
+    ``exact_values`` of them.
     """
     if not columns:
         return {}
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    rows = dict.fromkeys(columns, df.count())
-    light = columns
-    if rows[columns[0]] > exact_values:
-        first = df.selectExpr(
-            *[f"count({ident(c)}) AS n{i}" for i, c in enumerate(columns)],
-            *[f"approx_count_distinct({ident(c)}) AS d{i}" for i, c in enumerate(columns)],
-        ).first()
-        rows = {c: first[f"n{i}"] for i, c in enumerate(columns)}
-        # The distinct estimate may be some percent low, hence the margin.
-        light = [
-            c
-            for i, c in enumerate(columns)
-            if rows[c] and min(rows[c], MARGIN * first[f"d{i}"]) <= exact_values
-        ]
+    first = df.selectExpr(
+        *[f"count({ident(c)}) AS n{i}" for i, c in enumerate(columns)],
+        *[f"approx_count_distinct({ident(c)}) AS d{i}" for i, c in enumerate(columns)],
+    ).first()
+    rows = {c: first[f"n{i}"] for i, c in enumerate(columns)}
+    # The distinct estimate may be some percent low, hence the margin.
+    light = [
+        c for i, c in enumerate(columns) if rows[c] and min(rows[c], MARGIN * first[f"d{i}"]) <= exact_values
+    ]
     heavy = [c for c in columns if rows[c] and c not in light]
     if light:
         wanted = _numbers(probs)

@@ -1,8 +1,9 @@
 """The whole cleaning chain as one fitted step.
 
 Order: drop columns, validation and whole numbers, informative gaps, imputation, outliers, range
-guards, encoding. Fit needs a handful of jobs over the frame whatever its width; transform is a
-projection plus the left joins of the age strata.
+guards, encoding. Fit reads the raw frame five times whatever its width (two passes for the medians of the informative
+gaps, two for the age strata, one to write the frame the other steps are fitted on, deleted afterwards); transform
+is a projection plus the left joins of the age strata.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from proclivity.operators.outliers import (
     with_outlier_flags,
 )
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN, text_columns
+from proclivity.session import written
 
 
 class CleaningChain(Step):
@@ -57,34 +59,34 @@ class CleaningChain(Step):
 
     def _fit(self, df: DataFrame) -> CleaningModel:
         current = force_incoherence_to_null(drop_columns(df, self.drop))
-        steps = []
-        for step in (MnarImputer(), self._imputer(current)):
-            fitted = step.fit(current)
-            current = fitted.transform(current)
-            steps.append(fitted)
+        gaps = MnarImputer().fit(current)
+        # Later fits read this table: neither the rules nor the joins of the age strata are worked out again.
+        with written(gaps.transform(current), "chain-fit") as current:
+            imputer = self._imputer(current).fit(current)
+            steps, current = [gaps, imputer], imputer.transform(current)
+            outliers = self._outlier_step(current)
+            if outliers is not None:
+                steps.append(outliers.fit(current))
+            encoder = None
+            if self.encode:
+                # Text columns are not changed by the outlier step, so the categories can be read here.
+                columns = text_columns(current, exclude=self.exclude)
+                encoder = (OneHotEncoder if self.encode == "onehot" else OrdinalEncoder)(columns).fit(current)
+        return CleaningModel(self.drop, steps, encoder)
+
+    def _outlier_step(self, df: DataFrame) -> Step | None:
         if self.outlier_method == "rescale":
-            rescaler = OutlierRescaler(
+            return OutlierRescaler(
                 self.outlier_columns,
                 "transform",
                 factor=self.factor,
                 exclude=self.exclude,
                 exclude_indicators=self.exclude_indicators,
-            ).fit(current)
-            steps.append(rescaler)
-        elif self.outlier_method == "split":
-            columns = self.outlier_columns or detect_outlier_columns(
-                current, self.factor, exclude=self.exclude
             )
-            if columns:
-                steps.append(_OutlierFlags(columns, self.factor).fit(current))
-        encoder = None
-        if self.encode:
-            # Text columns are not changed by the outlier step, so the categories can be read here.
-            columns = text_columns(current, exclude=self.exclude)
-            encoder = (OneHotEncoder if self.encode == "onehot" else OrdinalEncoder)(columns).fit(
-                current
-            )
-        return CleaningModel(self.drop, steps, encoder)
+        if self.outlier_method == "split":
+            columns = self.outlier_columns or detect_outlier_columns(df, self.factor, exclude=self.exclude)
+            return _OutlierFlags(columns, self.factor) if columns else None
+        return None
 
     def _imputer(self, df: DataFrame) -> ColumnImputer:
         return ColumnImputer({c: s for c, s in DEFAULT_STRATEGIES.items() if c in df.columns})
