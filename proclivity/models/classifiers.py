@@ -108,12 +108,12 @@ def _forest(p: dict, seed: int, bootstrap: bool, trees: int = 100) -> RandomFore
     )
 
 
-def _estimator(kind: str, p: dict, width: int, rows, seed: int):
-    """The Spark ML estimator of a kind; ``rows`` gives the row count when the penalty needs it."""
+def _estimator(kind: str, p: dict, width: int, total_weight, seed: int):
+    """The Spark ML estimator of a kind; ``total_weight`` gives the sum of row weights when the penalty needs it."""
     if kind == "LogisticRegression":
-        # The penalty is set against the summed loss, Spark ML divides the loss by the weights.
+        # The penalty is set against the summed loss, Spark ML divides the loss by the sum of the weights.
         return LogisticRegression(
-            regParam=1.0 / (p.get("C", 1.0) * rows()),
+            regParam=1.0 / (p.get("C", 1.0) * total_weight()),
             elasticNetParam=1.0 if p.get("penalty") == "l1" else 0.0,
             maxIter=p.get("max_iter", 100),
             fitIntercept=p.get("fit_intercept", True),
@@ -199,7 +199,13 @@ class Classifier(Step):
         frame = assemble(rows, features)
         if self.kind == "AdaBoost":
             return ClassifierModel(SammeBoost(self.settings, self.seed).fit(frame), features)
-        estimator = _estimator(self.kind, self.settings, len(features), rows.count, self.seed)
+
+        def total_weight() -> float:
+            if "weight" not in rows.columns:
+                return float(rows.count())
+            return rows.agg(F.sum("weight")).first()[0]
+
+        estimator = _estimator(self.kind, self.settings, len(features), total_weight, self.seed)
         if "weight" in frame.columns and estimator.hasParam("weightCol"):
             estimator = estimator.copy({estimator.getParam("weightCol"): "weight"})
         return ClassifierModel(estimator.fit(frame), features)

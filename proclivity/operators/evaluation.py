@@ -163,7 +163,8 @@ def evaluate_classification(
 ) -> DataFrame:
     """Metrics and counts of given predictions, with the area when a score column is named.
 
-    The area column is null when only one class is present.
+    The area column is null when only one class is present. Rows without a score count in the decisions; the area is
+    that of the rows with one.
     """
     require_columns(df, [prediction, target] + ([score] if score else []))
     if score is None:
@@ -185,20 +186,18 @@ def evaluate_classification(
         F.count_if(y & ~p).alias("fn"),
         F.count_if(y & p).alias("tp"),
     )
-    running = running_sums(
-        counts.where(F.col("score").isNotNull())
-        .withColumn("neg", F.col("tn") + F.col("fp"))
-        .withColumn("pos", F.col("fn") + F.col("tp")),
-        [],
-        "score",
-        ["neg"],
+    sized = counts.withColumn("neg", F.col("tn") + F.col("fp")).withColumn("pos", F.col("fn") + F.col("tp"))
+    scored = running_sums(sized.where(F.col("score").isNotNull()), [], "score", ["neg"]).select(
+        *COUNTS, "neg", "pos", (F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)).alias("wins")
+    )
+    unscored = sized.where(F.col("score").isNull()).select(
+        *COUNTS, F.lit(0).cast("bigint").alias("neg"), F.lit(0).cast("bigint").alias("pos"), F.lit(0.0).alias("wins")
     )
-    sums = running.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
-        F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)).alias("wins"),
+    sums = scored.unionByName(unscored).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*COUNTS, "neg", "pos")], F.sum("wins").alias("wins")
     )
     tn, fp, fn, tp = (F.col(c) for c in COUNTS)
-    area = F.try_divide(F.col("wins"), (tp + fn).cast("double") * (tn + fp).cast("double"))
+    area = F.try_divide(F.col("wins"), F.col("pos").cast("double") * F.col("neg").cast("double"))
     return sums.select(
         *[m.alias(name) for name, m in metric_columns(tn, fp, fn, tp).items()],
         area.alias("roc_auc"),

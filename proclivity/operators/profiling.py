@@ -178,9 +178,12 @@ def clipped_histogram(
 
 
 def score_histogram(df: DataFrame, score: str = "score", bins: int = 20) -> DataFrame:
-    """``(bin, bin_start, count)`` over the range of the scores, last bin closed, empty bins kept."""
+    """``(bin, bin_start, count)`` over the range of the scores, last bin closed, empty bins kept.
+
+    Without any score the bins are empty and cover 0 to 1.
+    """
     ends = column_stats(df, [score], ["min", "max"])[score]
-    low, high = float(ends["min"]), float(ends["max"])
+    low, high = (0.0, 1.0) if ends["min"] is None else (float(ends["min"]), float(ends["max"]))
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from proclivity.operators import evaluation, outliers, quantiles
+from proclivity.models.classifiers import Classifier
+from proclivity.operators import evaluation, outliers, profiling, quantiles
 from proclivity.operators.correlation import null_correlations, null_overlaps
 
 
@@ -44,3 +45,29 @@ def test_quantile_search_ends_when_every_bracket_misses(spark, monkeypatch, edge
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).cast("double").alias("x"))
     got = quantiles.exact_quantiles(df, ["x"], [0.25, 0.5], exact_values=200)
     assert np.allclose(got["x"], np.quantile(np.arange(1000), [0.25, 0.5]))
+
+
+def test_rows_without_score_count_in_the_decisions_only(spark):
+    df = spark.createDataFrame(
+        [(0.9, 1, 1), (0.2, 0, 0), (0.4, 0, 1), (None, 1, 1), (None, 1, 0)], "score double, prediction int, TARGET_B int"
+    )
+    got = evaluation.evaluate_classification(df, "prediction", score="score").first()
+    assert (got["tn"], got["fp"], got["fn"], got["tp"]) == (1, 1, 1, 2)
+    assert got["roc_auc"] == 1.0
+    blank = evaluation.evaluate_classification(df.where("score IS NULL"), "prediction", score="score").first()
+    assert (blank["fp"], blank["tp"], blank["roc_auc"]) == (1, 1, None)
+
+
+def test_score_histogram_without_scores(spark):
+    df = spark.createDataFrame([(None,), (None,)], "score double")
+    rows = profiling.score_histogram(df, bins=4).collect()
+    assert sorted((r["bin"], r["bin_start"], r["count"]) for r in rows) == [(0, 0.0, 0), (1, 0.25, 0), (2, 0.5, 0), (3, 0.75, 0)]
+
+
+def test_logistic_penalty_follows_the_weights(spark):
+    rows = [(i, float(i % 10), int(i % 10 > 7 or i % 17 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "CONTROL_NUMBER long, x double, TARGET_B int")
+    positives = sum(y for _, _, y in rows)
+    fitted = Classifier("LogisticRegression", {"C": 0.01}, features=["x"], weighting="positive").fit(df)
+    # Positives weigh as much as all negatives together.
+    assert abs(fitted.model.getRegParam() - 1 / (0.01 * 2 * (400 - positives))) < 1e-12
