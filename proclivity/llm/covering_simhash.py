@@ -11,12 +11,17 @@ and that of the five-word shingles, which is tested.
 
 Only distinct fingerprints are looked up. A bucket (mask, masked value) of more than ``BUCKET`` fingerprints is cut
 by the same construction on the bits its mask leaves free, again until it is small or free bits cannot exceed
-the radius, where all its members are linked (or all bits agree). So no task compares more than a bounded bucket, no pairs of a
+the radius, where all its members are linked. So no task compares more than a bounded bucket, no pairs of a
 bucket leave it (only a spanning forest does), and every link still joins the same component.
+
+Where the second fingerprint is tested too, such a cut need not end (many texts may share all their words). There the
+fingerprints of all large buckets are dealt into blocks of half a bucket instead, and every block is compared with
+every other: as exact, and no task holds more than two blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -175,6 +180,8 @@ def link_fingerprints(
     ``marks`` has (node, mark, other), a node for each distinct pair of fingerprints. The radius of the second one is
     only tested (64 tests nothing); the masks cover the first.
     """
+    if other_radius < 64:
+        return _link_both(ws, marks, radius, other_radius, bucket_limit)
     every, level = (1 << 64) - 1, 0
     edges = None
     # A path is a sequence of masks taken so far, by number; together they fix known bits.
@@ -191,12 +198,10 @@ def link_fingerprints(
         )
         members = spread.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
         members = ws.write(members, f"buckets-{level}")
-        # Where all free bits may differ and nothing else is tested, any two members are within the radius.
-        narrow = [further for _, further, mask in table if 64 - (mask & every).bit_count() <= radius] if other_radius >= 64 else []
+        # Where all free bits may differ, any two members are within the radius.
+        narrow = [further for _, further, mask in table if 64 - (mask & every).bit_count() <= radius]
         is_narrow = F.col("further").isin(narrow) if narrow else F.lit(False)
-        # Nodes with equal first fingerprints (only their second ones differ) cannot be cut further.
-        whole = [further for _, further, mask in table if mask & every == every]
-        fits = (F.col("n") <= bucket_limit) | (F.col("further").isin(whole) if whole else F.lit(False))
+        fits = F.col("n") <= bucket_limit
         small = members.where(fits & ~is_narrow)
         found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
         if narrow:
@@ -214,11 +219,39 @@ def link_fingerprints(
         fixed_by = {further: mask & every for _, further, mask in table if further in used}
 
 
-def _with_roots(ws: Workspace, marked: DataFrame, radius: int, other_radius: int) -> tuple[DataFrame, DataFrame]:
+def _link_both(ws: Workspace, marks: DataFrame, radius: int, other_radius: int, bucket_limit: int) -> DataFrame:
+    """``link_fingerprints`` with both radii tested: masks once, then blocks against blocks for what lies in large buckets."""
+    masks = ws.spark.createDataFrame([(i, _signed(m)) for i, m in enumerate(covering_masks((1 << 64) - 1, radius))], "further int, mask long")
+    spread = marks.crossJoin(F.broadcast(masks)).select(
+        F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"), "mark", "other", "node"
+    )
+    large = None
+    if marks.count() > bucket_limit:
+        large = ws.write(spread.groupBy("bucket").count().where(F.col("count") > bucket_limit).select("bucket"), "large")
+        if large.isEmpty():
+            large = None
+    small = spread if large is None else spread.join(large, "bucket", "left_anti")
+    small = small.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
+    small = ws.write(small, "buckets")
+    found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
+    edges = ws.write(found.where("a <> b").distinct(), "links")
+    if large is None:
+        return edges
+    # Two nodes of one large bucket are both among these; each pair of blocks is a bucket of its own.
+    crowd = ws.write(spread.join(large, "bucket", "left_semi").select("mark", "other", "node").distinct(), "crowd")
+    blocks = math.ceil(crowd.count() / max(1, bucket_limit // 2))
+    dealt = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks))).withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pair = F.least("block", "with") * F.lit(blocks) + F.greatest("block", "with")
+    dealt = dealt.select(pair.cast("long").alias("bucket"), "mark", "other", "node")
+    across = _link_buckets(dealt.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
+    return edges.unionByName(ws.write(across.where("a <> b").distinct(), "crowd-links"))
+
+
+def _with_roots(ws: Workspace, marked: DataFrame, radius: int, other_radius: int, bucket_limit: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """(marked rows, (mark, other, root)): root is one number for each component of linked fingerprints."""
     marked = ws.write(marked, "fingerprints")
     nodes = ws.write(marked.select("mark", "other").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
-    links = link_fingerprints(ws, nodes, radius, other_radius)
+    links = link_fingerprints(ws, nodes, radius, other_radius, bucket_limit)
     linked = smallest_reachable(ws, links)
     roots = nodes.join(linked, "node", "left").select("mark", "other", F.coalesce("root", "node").alias("root"))
     return marked, roots
@@ -245,7 +278,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
 
 def drop_near_copies(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = WORD_RADIUS, similarity: float = 0.8
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = WORD_RADIUS, similarity: float = 0.8,
+    bucket_limit: int = BUCKET,
 ) -> DataFrame:
     """One row of each near-duplicate class of ``docs`` (all columns): the one with the smallest key.
 
@@ -257,7 +291,7 @@ def drop_near_copies(
     sha = F.sha2(text_or_empty(text), 256)
     allowed = int(64 * np.arccos(similarity) / np.pi)
     rows = docs.select(F.col(key).alias("key"), sha.alias("sha"), F.col(text).alias("_source"))
-    marked, roots = _with_roots(ws, fingerprints(rows, "_source", words, by_words=True), radius, allowed)
+    marked, roots = _with_roots(ws, fingerprints(rows, "_source", words, by_words=True), radius, allowed, bucket_limit)
     place = F.struct(F.col("key").isNull().alias("nameless"), "key", "sha")
     first = marked.groupBy("mark", "other").agg(F.min(place).alias("first"))
     first = ws.write(first.join(roots, ["mark", "other"]), "first")
