@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Poisson replication.
 
 Each document has a uniform number from a hash of the seed and its key; inverting the Poisson distribution whose
-mean is its source's repetition rate gives its number of copies. Documents are exploded by that number and
+mean is its source's repetition rate gives its number of copies; a large rate is drawn as a sum of independent smaller ones. Documents are exploded by that number and
 put in the order of a second hash, so the mixture is shuffled globally. The same seed gives the same mixture,
 whatever the partitioning and however often a task is run again.
 """
@@ -13,8 +13,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Beyond this mean the first probability is no normal double any more; such a rate is an error.
+from .shared import let
+
+#: Beyond about this mean the first probability is no normal double any more; larger rates are sums of such draws.
 MAX_RATE = 600.0
+#: Copies of one document that are exploded at once.
+COPIES = 10_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -39,6 +43,18 @@ def poisson_count(u: Column, rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["n"])
 
 
+def poisson_draw(rate: Column, *parts: Column) -> Column:
+    """A Poisson number of any mean from hashes of the parts: the sum of as many equal draws as ``MAX_RATE`` asks for."""
+    n = F.greatest(F.ceil(rate / F.lit(MAX_RATE)), F.lit(1).cast("long"))
+    share = rate / n
+    more = F.aggregate(
+        F.sequence(F.lit(1).cast("long"), n - 1),
+        F.lit(0).cast("long"),
+        lambda total, i: total + let(uniform(*parts, F.lit("draw"), i), lambda u: poisson_count(u, share)),
+    )
+    return poisson_count(uniform(*parts), share) + F.when(n > 1, more).otherwise(F.lit(0).cast("long"))
+
+
 def repetition_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, source: str = "source") -> DataFrame:
     """(source, n, rate): mean copies per document so that the mixture has as many documents as the input.
 
@@ -56,12 +72,9 @@ def repetition_rates(docs: DataFrame, weights: dict[str | None, float] | None =
             "source", "n", F.coalesce("w", F.lit(0.0)).alias("w")
         )
     totals = weighted.agg(F.sum("w").alias("w"), F.sum("n").alias("n")).first()
-    rates = weighted.select(
+    return weighted.select(
         "source", "n", (F.col("w") / F.lit(totals.w) * F.lit(float(totals.n or 0)) / F.col("n")).alias("rate")
     )
-    if totals.n and (top := rates.agg(F.max("rate")).first()[0]) > MAX_RATE:
-        raise ValueError(f"a source would be repeated {top:.0f} times; at most {MAX_RATE:.0f} are supported")
-    return rates
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, seed: int = 0, key: str = "doc_id", source: str = "source") -> DataFrame:
@@ -76,8 +89,10 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     )
     kept = docs.drop("copy", "shuffle_key")
     drawn = kept.join(rates, F.col(source).eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("_copies", poisson_count(uniform(F.lit(seed), F.col(key)), F.col("_rate")))
-    copies = drawn.where("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    drawn = drawn.withColumn("_copies", poisson_draw(F.col("_rate"), F.lit(seed), F.col(key)))
+    runs = drawn.where("_copies > 0").withColumn("_low", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(COPIES).cast("long"))))
+    run = F.sequence(F.col("_low"), F.least(F.col("_low") + F.lit(COPIES - 1), F.col("_copies")))
+    copies = runs.withColumn("copy", F.explode(run.cast("array<int>")))
     bits = F.substring(F.md5(F.concat_ws("|", F.lit(f"order{seed}"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy").cast("string"))), 1, 15)
     keyed = copies.withColumn("shuffle_key", F.conv(bits, 16, 10).cast("long"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

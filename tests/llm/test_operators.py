@@ -250,6 +250,16 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mix(odd).columns == [*odd.columns, "copy", "shuffle_key"]
 
 
+def test_mixing_at_any_rate(spark):
+    docs = spark.range(400_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 4, "rare").otherwise("big").alias("source"))
+    drawn = mixing.mix(docs, {"rare": 1, "big": 9}, seed=2).where("source = 'rare'").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("copy").alias("low"), F.max("copy").alias("high"), F.countDistinct("copy").alias("d"))
+    drawn = drawn.collect()  # rate 10,000: deviation 100
+    assert len(drawn) == 4 and all(abs(r.n - 10_000) < 500 and r.low == 1 and r.high == r.n == r.d for r in drawn)
+    many = spark.range(2000).select(mixing.poisson_draw(F.lit(1500.0), F.lit(0), F.col("id")).alias("n"))
+    law = many.agg(F.avg("n").alias("mean"), F.variance("n").alias("var")).first()
+    assert abs(law["mean"] - 1500) < 5 and abs(law["var"] - 1500) < 200
+
+
 @pytest.mark.parametrize("size", [4, 2048])
 def test_copies(odd, empty, size):
     got = block_names.copy_classes(odd, block_bytes=size).collect() if size > 4 else block_names.copy_classes(odd.where("length(text) < 100 or text is null"), block_bytes=size).collect()
