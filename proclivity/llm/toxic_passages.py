@@ -7,7 +7,8 @@ informative Dirichlet prior (the units' overall shares, plus 1/2), less one stan
 kept whose likelihood-ratio statistic exceeds what chance gives among as many units. A word scores as its best unit,
 any other word a small negative constant: the log-ratio of both classes' shares of such words.
 
-Scoring. One linear scan per text finds all maximal scoring segments. Their scores follow an extreme-value law:
+Scoring. One linear scan per text cuts it into candidate stretches, in which a word scores once, and finds all maximal
+scoring segments of these. Their scores follow an extreme-value law:
 with lambda and K from the clean class, ``K n exp(-lambda S)`` segments as good are expected by chance in n
 tokens. A text's evidence is the sum of ``lambda S - ln(K n)`` over its significant passages; a logistic curve fitted
 on the training texts turns it into a probability.
@@ -50,7 +51,6 @@ class Lexicon:
     units: dict[str, float]
     other: float
     rate: float  # lambda of the extreme-value law
-    clean_tokens: int
 
 
 def units_of(word: str) -> list[str]:
@@ -104,14 +104,34 @@ class _Scores(dict):
         return best
 
 
-def scan_text(text: str, scores: _Scores, other: float) -> tuple[int, list[tuple[int, int, float]]]:
-    """Number of words and maximal segments. As in learning, a word scores once per text: repeats are neutral."""
-    words, seen, hits = WORD.findall(text.lower()), set(), []
+def candidates(words: list[str], scores: dict[str, float], other: float) -> Iterator[list[tuple[int, float]]]:
+    """Hits (position, score) of each stretch of the text that may hold passages, a word once in each.
+
+    A stretch ends where its sum falls to zero, and before a word it has had already if that word alone outweighs less
+    than what was lost since the last hit, so that it begins a passage of its own. Any other repeat counts as filler.
+    """
+    hits: list[tuple[int, float]] = []
+    seen: set[str] = set()
+    total = 0.0  # at the last hit
     for i, w in enumerate(words):
-        if (s := scores[w]) and w not in seen:
+        if not (s := scores[w]):
+            continue
+        lost = -other * (i - hits[-1][0] - 1) if hits else 0.0
+        if hits and (total <= lost or (w in seen and lost >= s)):
+            yield hits
+            hits, seen, total, lost = [], set(), 0.0, 0.0
+        if w not in seen:
             seen.add(w)
             hits.append((i, s))
-    return len(words), segments(hits, other)
+            total += s - lost
+    if hits:
+        yield hits
+
+
+def scan_text(text: str, scores: dict[str, float], other: float) -> tuple[int, list[tuple[int, int, float]]]:
+    """Number of words and maximal segments; inside a segment a word scores once, as it does per text in learning."""
+    words = WORD.findall(text.lower())
+    return len(words), [x for hits in candidates(words, scores, other) for x in segments(hits, other)]
 
 
 def held_out(key: Column) -> Column:
@@ -141,7 +161,7 @@ def learn(docs: DataFrame, training: DataFrame) -> Lexicon:
     n_bad, n_all = int(totals.bad or 0), int(totals.n or 0)
     n_good = n_all - n_bad
     if not n_bad or not n_good:
-        return Lexicon({}, -1.0, 1.0, n_good)
+        return Lexicon({}, -1.0, 1.0)
     length = F.length("word")
     grams = F.flatten(F.transform(F.lit([4, 5]), lambda k: F.when(
         length >= k, F.transform(F.sequence(F.lit(1), F.greatest(length - k + 1, F.lit(1))), lambda i: F.substr(F.col("word"), i, k))
@@ -174,7 +194,7 @@ def learn(docs: DataFrame, training: DataFrame) -> Lexicon:
     other = math.log((n_bad - hit_bad + 1) / (n_bad + 2)) - math.log((n_good - hit_good + 1) / (n_good + 2))
     other = min(other, -1e-3)
     chance = [(r.s, (r.good + 0.5) / (n_good + 1)) for r in binned]
-    return Lexicon(lexicon, other, _solve_rate(chance, other), n_good)
+    return Lexicon(lexicon, other, _solve_rate(chance, other))
 
 
 def _solve_rate(chance: list[tuple[float, float]], other: float) -> float:
@@ -245,11 +265,11 @@ def fit(ws: Workspace, docs: DataFrame, labels: DataFrame, max_labelled: int = M
     chosen = docs.select("doc_id", "text").join(F.broadcast(training), "doc_id")
     labelled = ws.write(find_segments(chosen.select("doc_id", "text"), lexicon).join(F.broadcast(training), "doc_id"), "labelled")
     # K: clean segments per clean token, counted at the scores they have.
-    seen = labelled.where("toxic = 0").select(F.explode("segments").alias("s")).agg(
-        F.count("*").alias("n"), F.min("s.score").alias("least")
+    seen = labelled.where("toxic = 0").agg(
+        F.sum(F.size("segments")).alias("n"), F.min(F.array_min(F.transform("segments", lambda s: s["score"]))).alias("least"), F.sum("n_tokens").alias("tokens")
     ).first()
     least = seen.least if seen.least is not None else min(lexicon.units.values(), default=1.0)
-    k = ((seen.n or 0) + 0.5) * math.exp(min(30.0, lexicon.rate * least)) / (lexicon.clean_tokens + 1)
+    k = ((seen.n or 0) + 0.5) * math.exp(min(30.0, lexicon.rate * least)) / ((seen.tokens or 0) + 1)
     k = min(1.0, max(k, 1e-9))
     bins = with_evidence(labelled, lexicon, k).groupBy(F.round(F.log1p(F.col("evidence")), 1).alias("x")).agg(
         F.sum(F.col("toxic").cast("double")).alias("y"), F.count("*").alias("n")

@@ -112,6 +112,22 @@ def test_segments_are_the_maximal_ones():
         assert [(a, b) for a, b, _ in toxic_passages.segments(sorted(hits.items()), -0.37)] == plain(scores)
 
 
+def test_words_score_in_every_passage():
+    class Scores(dict):
+        def __missing__(self, word):
+            return 0.0
+
+    scores, other = Scores(a=3.0, b=2.5, c=3.0, d=2.0), -0.1
+    scan = lambda words: [(x, y, round(z, 6)) for x, y, z in toxic_passages.scan_text(" ".join(words), scores, other)[1]]
+    dense, clean = ["a", "b", "x", "c", "d"], ["x"] * 40
+    assert scan([*dense, *clean, *dense]) == [(0, 4, 10.4), (45, 49, 10.4)]
+    assert scan([*dense, *["x"] * 400, *dense]) == [(0, 4, 10.4), (405, 409, 10.4)]
+    early = [w for hit in "abcd" for w in [hit, *clean]]
+    assert scan([*early, *dense])[-1] == (164, 168, 10.4)
+    assert max(z for *_, z in scan(["a", "x", "x"] * 500)) == 3.0  # one word over and over never adds up
+    assert scan(["a", "a", "a", "b"]) == [(0, 3, 5.3)]
+
+
 def test_toxicity_held_out_and_odd(spark, odd, empty):
     rng = random.Random(5)
     words = [f"{a}{b}" for a in "bcdfgklmnprst" for b in ("ano", "eri", "ulo", "ite")]
