@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, bottom_k, covering_simhash, mixing, piece_counts, tag_paths, tool_calls, toxic_passages, url_filter, word_automaton
+from . import (
+    block_names,
+    bottom_k,
+    covering_simhash,
+    id_files,
+    mixing,
+    piece_counts,
+    tag_paths,
+    tool_calls,
+    toxic_passages,
+    url_filter,
+    word_automaton,
+)
 from .shared import Workspace, read, text_or_empty
 
 #: Fixed values: (host, path, verdict).
@@ -172,11 +184,19 @@ def op10_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_automaton.encode(ws, docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op12_id_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts have the end id alone; null doc_ids come first; equal rows are all written. Files stay for the reader."""
+    folder = f"{Workspace(spark, 'ids').root}/ids"
+    id_files.write_ids(read(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return id_files.read_documents(spark, folder)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_tool_call_linking, op3_toxic_passages, op4_document_sketches, op5_covering_simhash,
         op6_source_mixture, op7_exact_dedup, op8_tag_path_text, op9_piece_counts, op10_word_automaton,
+        op12_id_range_coder,
     )
 }
 SQL = {"op1_url_filter": OP1_SQL, "op6_source_mixture": OP6_SQL, "op7_exact_dedup": OP7_SQL}
