@@ -17,6 +17,7 @@ from . import (
     tool_calls,
     toxic_passages,
     url_filter,
+    whitening,
     word_automaton,
 )
 from .shared import Workspace, read, text_or_empty
@@ -191,12 +192,17 @@ def op12_id_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_documents(spark, folder)
 
 
+def op13_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a finite vector are left out; null and repeated vec_ids are kept as they are."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_tool_call_linking, op3_toxic_passages, op4_document_sketches, op5_covering_simhash,
         op6_source_mixture, op7_exact_dedup, op8_tag_path_text, op9_piece_counts, op10_word_automaton,
-        op12_id_range_coder,
+        op12_id_range_coder, op13_contour_whitening,
     )
 }
 SQL = {"op1_url_filter": OP1_SQL, "op6_source_mixture": OP6_SQL, "op7_exact_dedup": OP7_SQL}
