@@ -16,6 +16,7 @@ from . import (
     tag_paths,
     tool_calls,
     toxic_passages,
+    turn_repair,
     url_filter,
     whitening,
     word_automaton,
@@ -185,6 +186,30 @@ def op10_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_automaton.encode(ws, docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns after damage by the checksum of ``conv_id:turn`` (nulls: one space): a twentieth each is dropped, emptied,
+    stripped of sentence ends, repeated or given to the user."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    marked = conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(name) % 20).alias("fault")
+    )
+    fault = F.col("fault")
+    return marked.where(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conv_id gets a row, a null one too; rows of one turn are ordered by role and text."""
+    conversations = read(spark, sf_dir, "conversations")
+    return turn_repair.audit(Workspace(spark, "turns"), damaged(conversations), conversations)
+
+
 def op12_id_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null texts have the end id alone; null doc_ids come first; equal rows are all written. Files stay for the reader."""
     folder = f"{Workspace(spark, 'ids').root}/ids"
@@ -202,7 +227,7 @@ QUERIES = {
     for f in (
         op1_url_filter, op2_tool_call_linking, op3_toxic_passages, op4_document_sketches, op5_covering_simhash,
         op6_source_mixture, op7_exact_dedup, op8_tag_path_text, op9_piece_counts, op10_word_automaton,
-        op12_id_range_coder, op13_contour_whitening,
+        op11_turn_repair, op12_id_range_coder, op13_contour_whitening,
     )
 }
 SQL = {"op1_url_filter": OP1_SQL, "op6_source_mixture": OP6_SQL, "op7_exact_dedup": OP7_SQL}
