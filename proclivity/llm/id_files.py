@@ -12,6 +12,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,9 +29,9 @@ from .shared import text_or_empty
 #: Ids in a block.
 BLOCK = 2048
 #: Blocks that a task codes side by side.
-SIDE_BY_SIDE = 4096
+SIDE_BY_SIDE = 2048
 #: A worker forgets its words beyond so many.
-CACHE = 400_000
+CACHE = 250_000
 #: A piece of a document in a block: where the document starts in its part, where the piece starts in the document.
 PIECE = "array<struct<key:{key},start:long,skipped:long,n:long>>"
 
@@ -43,7 +44,9 @@ class Encoder:
     """
 
     _safe = re.compile(r"(?<=\S) (?=\S)")
-    _edge = re.compile(r"^\s|\s$")
+    #: Spaces next to other white space or at an end, and the same for line breaks.
+    _odd_space = re.compile(r" \s|\s |^\s|\s$")
+    _odd_line = re.compile(r"\n\s|\s\n|^\n|\n$")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -53,44 +56,41 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        #: Ids of parts with a space before them.
         self.known: dict[str, bytes] = {}
 
-    def parts(self, text: str) -> list[str]:
-        """Parts to be encoded alone, all but the first with the space before them."""
-        parts = text.split(" ")
-        if "" in parts or any(p[0].isspace() or p[-1].isspace() for p in parts):
-            parts = self._safe.split(text)
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
     def _lines(self, part: str) -> list[str]:
-        """A part cut at its line breaks, if no white space is next to any of them."""
-        if any(s in part for s in self.special):
-            return [part]
-        lines = part.split("\n")
-        if len(lines) == 1 or any(not x.strip() or self._edge.search(x.removeprefix(" ")) for x in lines):
-            return [part]
-        return [x for line in lines for x in ("\n", line)][1:]
-
-    def _learn(self, parts: set[str]) -> None:
-        cut = {p: self._lines(p) for p in parts}
-        words = list({w for c in cut.values() for w in c})
-        found = self.library.encode_batch_fast(words, add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found, strict=True)}
-        self.known.update((p, b"".join([ids[w] for w in c])) for p, c in cut.items())
+        """A part, to be read after a space, cut at its line breaks if no white space is next to any of them."""
+        if "\n" not in part or self._odd_line.search(part):
+            return [" " + part]
+        return [x for line in (" " + part).split("\n") for x in ("\n", line)][1:]
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, parts: list[str]) -> None:
+        cut = [self._lines(p) for p in parts]
+        words = list({w for c in cut for w in c})
+        ids = dict(zip(words, self._encode(words), strict=True))
+        self.known.update((p, ids[c[0]] if len(c) == 1 else b"".join([ids[w] for w in c])) for p, c in zip(parts, cut, strict=True))
 
     def __call__(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [[] if not t else [t] if any(s in t for s in self.special) else self.parts(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        if new := set().union(*cut) - self.known.keys():
-            self._learn(new)
-        known = self.known.__getitem__
-        found = [b"".join(map(known, c)) for c in cut]
-        for c in cut:
-            if len(c) == 1:  # whole texts are not met again
-                self.known.pop(c[0], None)
-        return found
+        heads, tails = [], []
+        for text in texts:
+            if any(s in text for s in self.special):
+                head, *tail = [text]
+            else:
+                head, *tail = self._safe.split(text) if self._odd_space.search(text) else text.split(" ")
+            heads.append(head)
+            tails.append(tail)
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        if new := {p for tail in tails for p in tail if p not in known}:
+            self._learn(list(new))
+        found = self._encode(heads)
+        return [head + b"".join(map(known.__getitem__, tail)) for head, tail in zip(found, tails, strict=True)]
 
 
 #: The encoder of this worker process, kept between tasks with what it knows.
@@ -121,7 +121,7 @@ class _Blocks:
         """Codes all full blocks, at the end also the rest."""
         ids = np.concatenate([np.zeros(0, "<u4"), *[w[3] for w in self.waiting]])
         whole = len(ids) if last else len(ids) // BLOCK * BLOCK
-        blocks = [ids[low : min(low + BLOCK, whole)].astype(np.int64) for low in range(0, whole, BLOCK)]
+        blocks = [ids[low : min(low + BLOCK, whole)] for low in range(0, whole, BLOCK)]
         pieces, rest, at = [[] for _ in blocks], [], 0
         for key, start, skipped, own in self.waiting:
             done = 0
