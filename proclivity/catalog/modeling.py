@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.catalog.person_sql import with_persons
 from proclivity.catalog.registry import register
-from proclivity.catalog.stages_sql import RANKED, each, r6
+from proclivity.catalog.stages_sql import NUM, OUTLIER_COLUMNS, RANKED, clean_stages_fitted, each, r6
 from proclivity.catalog.support import rounded
 from proclivity.models.classifiers import Classifier, baseline_models
 from proclivity.operators import evaluation, model_selection, selection
@@ -18,7 +20,7 @@ from proclivity.plans import experiments, scoring, tuning
 from proclivity.plans.cleaning_chain import CleaningChain, clean_each_split
 from proclivity.plans.persons import person_frame
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN
-from proclivity.session import materialize
+from proclivity.session import materialize, scratch_dir
 
 _memo: dict[tuple, DataFrame] = {}
 
@@ -115,30 +117,34 @@ for _name, (_kind, _params) in _MODEL_QUERIES.items():
 _BAYES = ["PCT_ATTRIBUTE1", "PCT_ATTRIBUTE2", "MEDIAN_HOME_VALUE", "MEDIAN_HOUSEHOLD_INCOME", "PEP_STAR"]
 
 
-@register(
-    "model_gaussian_bayes",
-    with_persons(
-        f"SELECT CONTROL_NUMBER, TARGET_B, {r6('1 / (1 + exp(-odds))')} AS score, CASE WHEN odds > 0 THEN 1 ELSE 0 END AS prediction FROM ("
-        "SELECT CONTROL_NUMBER, TARGET_B, ln(n1 / n0) + "
+
+
+def bayes_sql(columns: list[str], rows: str, fit: str, keys: str, smoothing: float = 1e-9) -> str:
+    """Scores of Gaussian Bayes for all of ``rows``, fitted on those of ``fit``."""
+    return (
+        f"SELECT {keys}, {r6('1 / (1 + exp(-greatest(least(odds, 700), -700)))')} AS score, CASE WHEN odds > 0 THEN 1 ELSE 0 END AS prediction FROM ("
+        f"SELECT {keys}, ln(n1 / n0) + "
         + each(
-            _BAYES,
+            columns,
             lambda c: f"(0.5 * ln((v0_{c} + extra) / (v1_{c} + extra)) + power({c} - m0_{c}, 2) / (2 * (v0_{c} + extra)) - power({c} - m1_{c}, 2) / (2 * (v1_{c} + extra)))",
             " + ",
         )
-        + " AS odds FROM persons CROSS JOIN (SELECT CAST(count(*) FILTER (TARGET_B = 0) AS DOUBLE) AS n0, "
-        "CAST(count(*) FILTER (TARGET_B = 1) AS DOUBLE) AS n1, 1e-9 * greatest("
-        + each(_BAYES, lambda c: f"var_pop({c})", ", ")
+        + f" AS odds FROM {rows} CROSS JOIN (SELECT CAST(count(*) FILTER (TARGET_B = 0) AS DOUBLE) AS n0, "
+        f"CAST(count(*) FILTER (TARGET_B = 1) AS DOUBLE) AS n1, {smoothing!r} * greatest("
+        + each(columns, lambda c: f"var_pop({c})", ", ")
         + ") AS extra, "
         + each(
-            _BAYES,
+            columns,
             lambda c: ", ".join(
                 f"avg({c}) FILTER (TARGET_B = {k}) AS m{k}_{c}, var_pop({c}) FILTER (TARGET_B = {k}) AS v{k}_{c}"
                 for k in (0, 1)
             ),
         )
-        + " FROM persons))"
-    ),
-)
+        + f" FROM {fit}))"
+    )
+
+
+@register("model_gaussian_bayes", with_persons(bayes_sql(_BAYES, "persons", "persons", "CONTROL_NUMBER, TARGET_B")))
 def model_gaussian_bayes(spark, sf):
     df = person_frame(spark, sf).select(ID_COLUMN, TARGET_COLUMN, *_BAYES)
     return rounded(Classifier("GaussianNB", {}, _BAYES).fit(df).transform(df))
@@ -251,6 +257,33 @@ def final_predictions(spark, sf):
     return scoring.refit_and_score(train, val, val.drop(TARGET_COLUMN))[0]
 
 
+# One person in four is held back as a table the stored chain has never seen.
+_SEEN = "CONTROL_NUMBER % 4 <> 1"
+_CHAIN_FEATURES = OUTLIER_COLUMNS
+
+
+@register(
+    "stored_chain_scores",
+    with_persons(
+        bayes_sql(
+            _CHAIN_FEATURES,
+            f"(SELECT * FROM tamed WHERE NOT ({_SEEN}))",
+            f"(SELECT * FROM tamed WHERE {_SEEN})",
+            "CONTROL_NUMBER",
+            1e-3,
+        ),
+        *clean_stages_fitted(_SEEN),
+    ),
+)
+def stored_chain_scores(spark, sf):
+    """Cleaning and classifier, fitted on one part, stored, loaded again, and put to the unseen part."""
+    people = person_frame(spark, sf)
+    seen, unseen = people.where(_SEEN), people.where(f"NOT ({_SEEN})").drop(TARGET_COLUMN)
+    path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/chain-{uuid.uuid4().hex}"
+    scoring.fit_chain(seen, Classifier("GaussianNB", {"var_smoothing": 1e-3}, _CHAIN_FEATURES)).write().overwrite().save(path)
+    return rounded(scoring.score_unseen(path, unseen))
+
+
 @register("final_in_sample_report")
 def final_in_sample_report(spark, sf):
     train, val = clean_parts(spark, sf)

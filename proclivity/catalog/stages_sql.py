@@ -68,18 +68,23 @@ valid AS (
   ) FROM persons
 )"""
 
-MNAR = """
+def mnar_stage(fit: str = "valid") -> str:
+    """Informative gaps, with medians over the rows of ``fit``."""
+    return _MNAR.format(fit=fit)
+
+
+_MNAR = """
 age_hu AS (SELECT HOME_OWNER AS h2, URBANICITY AS u2, quantile_cont(DONOR_AGE, 0.5) AS m_hu
-  FROM valid WHERE HOME_OWNER IS NOT NULL AND URBANICITY IS NOT NULL GROUP BY 1, 2),
+  FROM {fit} WHERE HOME_OWNER IS NOT NULL AND URBANICITY IS NOT NULL GROUP BY 1, 2),
 age_h AS (SELECT HOME_OWNER AS h1, quantile_cont(DONOR_AGE, 0.5) AS m_h
-  FROM valid WHERE HOME_OWNER IS NOT NULL GROUP BY 1),
+  FROM {fit} WHERE HOME_OWNER IS NOT NULL GROUP BY 1),
 mnar AS (
   SELECT * EXCLUDE (h1, h2, u2, m_h, m_hu) REPLACE (
       coalesce(WEALTH_RATING, 0) AS WEALTH_RATING,
       coalesce(MONTHS_SINCE_LAST_PROM_RESP,
-        (SELECT quantile_cont(MONTHS_SINCE_LAST_PROM_RESP, 0.5) FROM valid))
+        (SELECT quantile_cont(MONTHS_SINCE_LAST_PROM_RESP, 0.5) FROM {fit}))
         AS MONTHS_SINCE_LAST_PROM_RESP,
-      coalesce(DONOR_AGE, m_hu, m_h, (SELECT quantile_cont(DONOR_AGE, 0.5) FROM valid))
+      coalesce(DONOR_AGE, m_hu, m_h, (SELECT quantile_cont(DONOR_AGE, 0.5) FROM {fit}))
         AS DONOR_AGE),
     CASE WHEN WEALTH_RATING IS NULL THEN 1 ELSE 0 END AS WEALTH_RATING_MISSING,
     CASE WHEN MONTHS_SINCE_LAST_PROM_RESP IS NULL THEN 1 ELSE 0 END
@@ -97,34 +102,44 @@ def mode_of(column: str, source: str) -> str:
     )
 
 
-IMPUTED = (
-    "\nmeans AS (SELECT "
-    + each(NUM, lambda c: f"avg({c}) AS a_{c}")
-    + " FROM mnar),\nimputed AS (\n  SELECT mnar.* REPLACE (\n  "
-    + each(NUM, lambda c: f"round_even(coalesce({c}, a_{c}), 4) AS {c}")
-    + ",\n  "
-    + each(TEXT, lambda c: f"coalesce({c}, {mode_of(c, 'mnar')}) AS {c}")
-    + "\n  ) FROM mnar CROSS JOIN means\n)"
-)
+def imputed_stage(fit: str = "mnar") -> str:
+    """Means and most frequent values over the rows of ``fit``."""
+    return (
+        "\nmeans AS (SELECT "
+        + each(NUM, lambda c: f"avg({c}) AS a_{c}")
+        + f" FROM {fit}),\nimputed AS (\n  SELECT mnar.* REPLACE (\n  "
+        + each(NUM, lambda c: f"round_even(coalesce({c}, a_{c}), 4) AS {c}")
+        + ",\n  "
+        + each(TEXT, lambda c: f"coalesce({c}, {mode_of(c, fit)}) AS {c}")
+        + "\n  ) FROM mnar CROSS JOIN means\n)"
+    )
+
+
+MNAR, IMPUTED = mnar_stage(), imputed_stage()
 
 OUTLIER_COLUMNS = NUM + FLAGS
 
 
 def _log(c: str) -> str:
     out = f"(lo_{c} < q_{c}[1] - 1.5 * (q_{c}[2] - q_{c}[1]) OR hi_{c} > q_{c}[2] + 1.5 * (q_{c}[2] - q_{c}[1]))"
-    right = f"round_even(ln(1 + {c} + CASE WHEN lo_{c} <= -1 THEN -lo_{c} ELSE 0 END), 4)"
-    left = f"round_even(-ln(1 - {c} + CASE WHEN hi_{c} >= 1 THEN hi_{c} ELSE 0 END), 4)"
+    right = f"round_even(ln(1 + greatest({c}, lo_{c}) + CASE WHEN lo_{c} <= -1 THEN -lo_{c} ELSE 0 END), 4)"
+    left = f"round_even(-ln(1 - least({c}, hi_{c}) + CASE WHEN hi_{c} >= 1 THEN hi_{c} ELSE 0 END), 4)"
     return f"CASE WHEN NOT {out} THEN CAST({c} AS DOUBLE) WHEN s_{c} > 0 THEN {right} ELSE {left} END"
 
 
-SHAPES = (
-    "\nshapes AS (SELECT "
-    + each(
-        OUTLIER_COLUMNS,
-        lambda c: f"quantile_cont({c}, [0.25, 0.75]) AS q_{c}, min({c}) AS lo_{c}, max({c}) AS hi_{c}, skewness({c}) AS s_{c}",
+def shapes_stage(fit: str = "imputed") -> str:
+    """Quartiles, ends and skewness over the rows of ``fit``."""
+    return (
+        "\nshapes AS (SELECT "
+        + each(
+            OUTLIER_COLUMNS,
+            lambda c: f"quantile_cont({c}, [0.25, 0.75]) AS q_{c}, min({c}) AS lo_{c}, max({c}) AS hi_{c}, skewness({c}) AS s_{c}",
+        )
+        + f" FROM {fit})"
     )
-    + " FROM imputed)"
-)
+
+
+SHAPES = shapes_stage()
 TAMED = (
     "\ntamed AS (SELECT imputed.* REPLACE (\n  "
     + each(OUTLIER_COLUMNS, lambda c: f"{_log(c)} AS {c}")
@@ -144,3 +159,9 @@ def staged(body: str, *stages: str) -> str:
 
 
 CLEAN_STAGES = (VALID, MNAR, IMPUTED, SHAPES, TAMED)
+
+
+def clean_stages_fitted(condition: str) -> tuple[str, ...]:
+    """The cleaning stages of all rows, fitted on those that meet a condition."""
+    of = lambda stage: f"(SELECT * FROM {stage} WHERE {condition})"
+    return VALID, mnar_stage(of("valid")), imputed_stage(of("mnar")), shapes_stage(of("imputed")), TAMED

@@ -74,6 +74,8 @@ class SammeBoost(Step):
 class SammeModel(FittedStep):
     """Weighted vote of the trees; the probability is the logistic of the mean vote."""
 
+    parts = ("trees",)
+
     def __init__(self, trees, alphas: list[float]):
         super().__init__({"alphas": alphas})
         self.trees = trees

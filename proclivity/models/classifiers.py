@@ -212,18 +212,22 @@ class Classifier(Step):
 
 
 class ClassifierModel(FittedStep):
-    """Adds ``score`` (probability of 1) and ``prediction``; feature columns are dropped."""
+    """Adds ``score`` (probability of 1) and ``prediction``; feature columns are dropped.
+
+    ``named`` models read the feature columns by name, others one assembled vector.
+    """
+
+    parts = ("model",)
 
     def __init__(self, model, features: list[str], named: bool = False):
-        super().__init__({"features": features})
+        super().__init__({"features": features, "named": named})
         self.model = model
-        self.named = named
 
     def _transform(self, df: DataFrame) -> DataFrame:
         features = self.state["features"]
         require_columns(df, features, error=KeyError)
         kept = [c for c in df.columns if c not in set(features)]
-        scored = self.model.transform(df if self.named else assemble(df, features))
+        scored = self.model.transform(df if self.state["named"] else assemble(df, features))
         if "score" not in scored.columns:
             scored = scored.withColumn("score", F.get(vector_to_array("probability"), 1))
         return scored.select(

@@ -97,6 +97,8 @@ class NearestNeighbours(Step):
 class NeighboursModel(FittedStep):
     """Adds ``score`` and ``prediction``."""
 
+    parts = ("train",)
+
     def __init__(self, state: dict, train: DataFrame):
         super().__init__(state)
         self.train = train

@@ -161,6 +161,8 @@ class MnarImputer(Step):
 class MnarModel(FittedStep):
     """Flags and fills as projections; the age strata come in through left joins."""
 
+    parts = ("strata",)
+
     def __init__(self, present: list[str], medians: dict, strata: DataFrame | None):
         super().__init__({"present": present, "medians": medians})
         self.strata = strata

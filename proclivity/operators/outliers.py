@@ -263,8 +263,8 @@ class OutlierRescaler(Step):
         if low is None or (skew is not None and abs(skew) < self.skew_threshold):
             return {"kind": "none"}
         if skew is not None and skew > 0:
-            return {"kind": "log", "shift": -float(low) if low <= -1 else 0.0}
-        return {"kind": "reflected", "shift": float(high) if high >= 1 else 0.0}
+            return {"kind": "log", "shift": -float(low) if low <= -1 else 0.0, "end": float(low)}
+        return {"kind": "reflected", "shift": float(high) if high >= 1 else 0.0, "end": float(high)}
 
 
 class RescalerModel(FittedStep):
@@ -282,10 +282,11 @@ def _scaled(c: str, p: dict) -> str:
 
 
 def _logged(c: str, p: dict) -> str:
+    """The fitted logarithm; values past the fitted end count as that end, where it would be undefined."""
     if p["kind"] == "log":
-        c = f"log1p({c} + {number(p['shift'])})"
+        c = f"log1p(CASE WHEN {c} < {number(p['end'])} THEN {number(p['end'])} ELSE {c} END + {number(p['shift'])})"
     elif p["kind"] == "reflected":
-        c = f"-log1p(-{c} + {number(p['shift'])})"
+        c = f"-log1p(-CASE WHEN {c} > {number(p['end'])} THEN {number(p['end'])} ELSE {c} END + {number(p['shift'])})"
     return half_even_sql(c)
 
 

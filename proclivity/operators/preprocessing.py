@@ -152,6 +152,8 @@ class Preprocessor(Step):
 class PreprocessorModel(FittedStep):
     """The fitted steps in order; ``outputs`` are the feature names for the assembler."""
 
+    parts = ("steps",)
+
     def __init__(self, steps, groups, outputs, kept):
         super().__init__({"groups": groups, "outputs": outputs, "kept": kept})
         self.steps = steps

@@ -93,6 +93,8 @@ class CleaningChain(Step):
 
 
 class CleaningModel(FittedStep):
+    parts = ("steps", "encoder")
+
     def __init__(self, drop, steps, encoder):
         super().__init__({"drop": drop})
         self.steps = steps

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proclivity.functions.columns import col
 from proclivity.models.classifiers import build_model
 from proclivity.operators.evaluation import probability_metrics
-from proclivity.operators.preprocessing import align_columns
+from proclivity.operators.preprocessing import Preprocessor, align_columns
 from proclivity.operators.reshape import stack_results
+from proclivity.plans.cleaning_chain import CleaningChain
 from proclivity.plans.experiments import cross_validated_scores
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN
+from proclivity.session import written
 from proclivity.sources.files import build_submission
 
 # The chosen model and its parameters.
@@ -54,3 +58,31 @@ def refit_and_score(
         "sample", F.lit("in-sample")
     )
     return submission, report
+
+
+def fit_chain(
+    train: DataFrame,
+    classifier=None,
+    cleaning: CleaningChain | None = None,
+    family: str | None = None,
+    target: str = TARGET_COLUMN,
+) -> PipelineModel:
+    """Cleaning, optionally the preparation of a model family, and a classifier, fitted one on the other's output.
+
+    The result holds all that scoring needs: ``write().save(path)`` stores it, ``PipelineModel.load(path)`` reads it in
+    any application that sees the path. A classifier without features takes all columns but key and target.
+    """
+    steps = [(cleaning or CleaningChain(encode="onehot")).fit(train)]
+    current = steps[0].transform(train)
+    if family is not None:
+        steps.append(Preprocessor(family).fit(current))
+        current = steps[-1].transform(current)
+    with written(current, "chain-train") as rows:
+        steps.append((classifier or final_model()).fit(rows))
+    return PipelineModel(steps)
+
+
+def score_unseen(chain: PipelineModel | str, rows: DataFrame, key: str = ID_COLUMN) -> DataFrame:
+    """``(key, score, prediction)`` of rows without target, by a fitted chain or the path of a stored one."""
+    model = PipelineModel.load(chain) if isinstance(chain, str) else chain
+    return model.transform(rows).select(col(key), "score", "prediction")
