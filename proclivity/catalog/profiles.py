@@ -9,7 +9,7 @@ from proclivity.catalog.person_sql import with_persons, with_scores
 from proclivity.catalog.registry import register
 from proclivity.catalog.stages_sql import FEATURES, NUM, TEXT, VALID, each, r6, staged, unpivoted
 from proclivity.catalog.support import rounded
-from proclivity.operators import cleaning, correlation, imputation, missingness, outliers, profiling
+from proclivity.operators import cleaning, correlation, imputation, missingness, outliers, profiling, rank_correlation
 from proclivity.operators.features import ENGINEERED_COLUMNS, add_engineered_features
 from proclivity.operators.reshape import melt, top_by
 from proclivity.operators.running import order_statistics
@@ -466,7 +466,27 @@ _RANKED = ["l_quantity", "l_extendedprice", "l_discount"]
     + ")",
 )
 def spearman_matrix(spark, sf):
-    return rounded(correlation.spearman_matrix(table(spark, sf, "lineitem"), _RANKED))
+    found = rank_correlation.spearman_matrix(table(spark, sf, "lineitem"), _RANKED)
+    return rounded(found.select("feature_a", "feature_b", "correlation"))
+
+
+@register(
+    "spearman_matrix_pairwise",
+    with_persons(
+        "SELECT feature_a, feature_b, n, CASE WHEN least(da, db) > 1 THEN " + r6("c") + " END AS correlation FROM ("
+        "SELECT feature_a, feature_b, count(*) AS n, count(DISTINCT a) AS da, count(DISTINCT b) AS db, corr(a, b) AS c FROM ("
+        "SELECT feature_a, feature_b, "
+        "rank() OVER (PARTITION BY feature_a, feature_b ORDER BY va) + (count(*) OVER (PARTITION BY feature_a, feature_b, va) - 1) / 2.0 AS a, "
+        "rank() OVER (PARTITION BY feature_a, feature_b ORDER BY vb) + (count(*) OVER (PARTITION BY feature_a, feature_b, vb) - 1) / 2.0 AS b "
+        "FROM (SELECT x.feature AS feature_a, y.feature AS feature_b, x.v AS va, y.v AS vb FROM longed AS x JOIN longed AS y USING (CONTROL_NUMBER))"
+        ") GROUP BY ALL)",
+        "longed AS ("
+        + " UNION ALL ".join(f"SELECT CONTROL_NUMBER, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM persons WHERE {c} IS NOT NULL" for c in NUM)
+        + ")",
+    ),
+)
+def spearman_matrix_pairwise(spark, sf):
+    return rounded(rank_correlation.spearman_matrix(person_frame(spark, sf), NUM))
 
 
 @register(

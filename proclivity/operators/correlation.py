@@ -1,16 +1,14 @@
-"""Correlation tables: Pearson with pairwise deletion, Spearman, and correlation of gaps."""
+"""Correlation tables: Pearson with pairwise deletion, Spearman with the target, and correlation of gaps."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
 from proclivity.functions.sqltext import as_double, ident
-from proclivity.operators.preprocessing import assemble
 from proclivity.operators.profiling import engineered_summary
 from proclivity.operators.running import running_sums
 from proclivity.operators.summary import column_stats
@@ -131,21 +129,6 @@ def spearman_with_target(
     )
 
 
-def spearman_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(feature_a, feature_b, correlation)`` on null-free columns through Spark ML's ranking."""
-    names = numeric_columns(df, columns)
-    vectors = assemble(df.select(*[col(c) for c in names]), names).select("features")
-    matrix = Correlation.corr(vectors, "features", "spearman").first()[0].toArray()
-    rows = [
-        (a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, a in enumerate(names)
-        for j, b in enumerate(names)
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "feature_a string, feature_b string, correlation double"
-    )
-
-
 def ranked_matrix(
     df: DataFrame,
     target: str = TARGET_COLUMN,
