@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import PCA, VectorSlicer
+from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
-from proclivity.operators.evaluation import first_reaching
+from proclivity.models.newton import Fit, fit_together, scores_of, training_rows, without
+from proclivity.operators.evaluation import first_reaching, roc_auc
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.splitting import balanced_weight
 from proclivity.schema import TARGET_COLUMN
-from proclivity.session import materialize
+from proclivity.session import materialize, written
 
 
 def _training_vectors(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -42,15 +42,6 @@ def _logistic(rows: int, penalty: str = "l2", c: float = 1.0, max_iter: int = 10
     )
 
 
-def _sliced(frame: DataFrame, kept: list[int]) -> DataFrame:
-    return (
-        VectorSlicer(inputCol="__features", outputCol="__kept", indices=kept)
-        .transform(frame)
-        .drop("__features")
-        .withColumnRenamed("__kept", "__features")
-    )
-
-
 def eliminate_features(
     df: DataFrame,
     features: list[str],
@@ -60,27 +51,30 @@ def eliminate_features(
 ) -> DataFrame:
     """``(feature, ranking)``: drop the smallest squared coefficient and refit, down to one.
 
-    Rank 1 is the feature kept longest. ``step`` features go at a time.
+    Rank 1 is the feature kept longest. ``step`` features go at a time. The rounds read the same written rows; each
+    starts from where the last one ended, so it takes a pass or two, and at most ``max_iter``.
     """
-    return _ranking_frame(df.sparkSession, _eliminate(df, features, target, step, max_iter))
-
-
-def _eliminate(df, features, target, step, max_iter) -> dict[str, int]:
-    frame = _training_vectors(df, features, target)
-    rows = frame.count()
-    kept = list(range(len(features)))
-    rank = {}
-    while len(kept) > 1:
-        # A fit starts from the written vectors, so no lineage builds up over the rounds.
-        model = _logistic(rows, max_iter=max_iter).fit(_sliced(frame, kept))
-        squared = [(float(w) ** 2, i) for w, i in zip(model.coefficients, kept, strict=True)]
-        out = [i for _, i in sorted(squared)[: min(step, len(kept) - 1)]]
+    with written(training_rows(df, features, target), "elimination") as rows:
+        rank, _ = _eliminate(rows, features, step, max_iter)
+    return _ranking_frame(df.sparkSession, rank)
+
+
+def _eliminate(rows: DataFrame, features: list[str], step: int, max_iter: int) -> tuple[dict[str, int], int]:
+    """Rank of each feature, and the number of passes."""
+    if not features:
+        raise ValueError("at least one feature is needed")
+    fit, rank, passes = Fit(range(len(features))), {}, 0
+    while len(fit.columns) > 1:
+        passes += fit_together(rows, [fit], len(features), max_iter=max_iter)
+        if not fit.converged:
+            raise ArithmeticError(f"the fit on {len(fit.columns)} features needs more than {max_iter} passes")
+        order = sorted(range(len(fit.columns)), key=lambda i: (float(fit.coefficients[i]) ** 2, fit.columns[i]))
+        gone = order[: min(step, len(fit.columns) - 1)]
         # One rank per round: the round's features share it, the next round ranks above.
-        for i in out:
-            rank[features[i]] = len(kept) - len(out) + 1
-        kept = [i for i in kept if i not in out]
-    rank[features[kept[0]]] = 1
-    return rank
+        rank |= {features[fit.columns[i]]: len(fit.columns) - len(gone) + 1 for i in gone}
+        fit = without(fit, gone)
+    rank[features[fit.columns[0]]] = 1
+    return rank, passes
 
 
 def _ranking_frame(spark, rank: dict[str, int]) -> DataFrame:
@@ -96,25 +90,21 @@ def elimination_curve(
     every: int = 5,
     max_iter: int = 1000,
 ) -> DataFrame:
-    """``(n_features, score)``: validation area of a refit on the best n features."""
+    """``(n_features, score)``: validation area of a refit on the best n features.
+
+    All sizes are fitted together: the passes over the rows do not grow with the number of sizes.
+    """
     ranks = {r["feature"]: r["ranking"] for r in ranking.collect()}
     sizes = list(range(every, len(features) + 1, every))
     if not sizes or sizes[-1] != len(features):
         sizes.append(len(features))
-    left, right = (
-        _training_vectors(train, features, target),
-        _training_vectors(validation, features, target),
-    )
-    rows = left.count()
-    area = BinaryClassificationEvaluator(
-        labelCol="__label", rawPredictionCol="probability", numBins=0
-    )
-    points = []
-    for n in sizes:
-        kept = [i for i, f in enumerate(features) if ranks[f] <= n]
-        model = _logistic(rows, max_iter=max_iter).fit(_sliced(left, kept))
-        points.append((n, float(area.evaluate(model.transform(_sliced(right, kept))))))
-    return train.sparkSession.createDataFrame(points, "n_features int, score double")
+    fits = [Fit([i for i, f in enumerate(features) if ranks[f] <= n]) for n in sizes]
+    with written(training_rows(train, features, target), "curve") as rows:
+        fit_together(rows, fits, len(features), max_iter=max_iter)
+    scored = scores_of(training_rows(validation, features, target), fits, len(features))
+    areas = roc_auc(scored, "score", "y", by=["fit"])
+    names = train.sparkSession.createDataFrame(list(enumerate(sizes)), "fit int, n_features int")
+    return areas.join(names, "fit").select("n_features", F.col("roc_auc").alias("score")).orderBy("n_features")
 
 
 def wrapper_family(ranking: DataFrame, curve: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from proclivity.operators.features import add_engineered_features
 from proclivity.operators.preprocessing import Preprocessor, keep_named, prepare_modeling_frame
 from proclivity.operators.reshape import stack_results, with_gaps
 from proclivity.operators.splitting import stratified_folds
+from proclivity.plans.shared_fits import fold_scores
 from proclivity.schema import TARGET_COLUMN
 from proclivity.session import materialize
 
@@ -150,18 +151,11 @@ def compare_feature_scenarios(
 def cross_validated_scores(
     classifier, df: DataFrame, folds: int = 5, target: str = TARGET_COLUMN, seed: int = 1
 ) -> DataFrame:
-    """``(fold, target, score, prediction)`` of every row, scored by the model of the other folds."""
+    """``(fold, target, score, prediction)`` of every row, scored by the model of the other folds.
+
+    The folds are fitted together where the classifier allows it (see ``shared_fits``)."""
     folded = materialize(stratified_folds(df, folds, target, classifier.key, seed, "__fold"), "folds")
-    parts = []
-    for i in range(folds):
-        model = classifier.fit(folded.where(F.col("__fold") != i).drop("__fold"))
-        held = folded.where(F.col("__fold") == i)
-        parts.append(
-            model.transform(held).select(
-                F.col("__fold").alias("fold"), target, "score", "prediction"
-            )
-        )
-    return stack_results(parts)
+    return fold_scores(classifier, folded, folds)
 
 
 def run_cross_validation(
