@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, text_or_empty
+from .shared import Workspace, free, text_or_empty
 
 BLOCK_BYTES = 2048
 
@@ -126,21 +126,21 @@ BROADCAST_KEYS = 500_000
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, without copies: see ``copy_classes`` for the one that stays."""
     ws = Workspace(docs.sparkSession, "drop-copies")
+    gone_key, gone_sha = free(docs.columns, "_gone_key", "_gone_sha")
     classes = ws.write(copy_classes(docs.select(key, text), key, text, block_bytes), "classes")
     gone = classes.where(~F.col("kept")).groupBy(key, "text_sha256").count()
     # Rows equal in key and text: some row with this key and text is kept, others are not.
     partly = classes.groupBy(key, "text_sha256").agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
     partly = partly.where("stays and n > 1").select(key, "text_sha256")
     gone = ws.write(gone.join(partly, [gone[key].eqNullSafe(partly[key]), gone.text_sha256 == partly.text_sha256], "left_anti").select(
-        F.col(key).alias("_gone_key"), F.col("text_sha256").alias("_gone_sha")
+        F.col(key).alias(gone_key), F.col("text_sha256").alias(gone_sha)
     ), "gone")
     sha = F.sha2(text_or_empty(text), 256)
     small = gone.count() <= BROADCAST_KEYS
-    found = [F.col(key).eqNullSafe(F.col("_gone_key")), sha == F.col("_gone_sha")]
+    found = [F.col(key).eqNullSafe(F.col(gone_key)), sha == F.col(gone_sha)]
     stay = docs.join(F.broadcast(gone) if small else gone, found, "left_anti")
     if partly.isEmpty():
         return stay
-    twice = partly.select(F.col(key).alias("_twice_key"), F.col("text_sha256").alias("_twice_sha"))
-    found = [F.col(key).eqNullSafe(F.col("_twice_key")), sha == F.col("_twice_sha")]
+    twice = partly.select(F.col(key).alias(gone_key), F.col("text_sha256").alias(gone_sha))
     once = stay.join(twice, found, "left_semi").dropDuplicates([key, text])
     return stay.join(twice, found, "left_anti").unionByName(once)

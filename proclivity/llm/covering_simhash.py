@@ -6,32 +6,24 @@ positions whose vector has an even product with v. Any r positions span at most
 orthogonal to all of them and its mask leaves them out: two fingerprints that differ in at most r bits agree
 under at least one mask. No pair is missed.
 
-For ``drop_near_copies`` two fingerprints are combined: that of the words, whose few differing bits the masks can cover,
-and that of the five-word shingles, which is tested.
-
 Only distinct fingerprints are looked up. A bucket (mask, masked value) of more than ``BUCKET`` fingerprints is cut
 by the same construction on the bits its mask leaves free, again until it is small or free bits cannot exceed
 the radius, where all its members are linked. So no task compares more than a bounded bucket, no pairs of a
 bucket leave it (only a spanning forest does), and every link still joins the same component.
-
-Where the second fingerprint is tested too, such a cut need not end (many texts may share all their words). There the
-fingerprints of all large buckets are dealt into blocks of half a bucket instead, and every block is compared with
-every other: as exact, and no task holds more than two blocks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import smallest_reachable
-from .shared import Workspace, text_or_empty
+from .shared import Workspace, free, text_or_empty
 
 RADIUS = 4
 SEED = 42
@@ -39,8 +31,6 @@ SEED = 42
 BUCKET = 16384
 #: Hashes whose bits are counted at once: bounds memory for very long texts.
 CHUNK = 1 << 15
-#: Radius of word fingerprints: texts whose five-word shingles have a Jaccard similarity of 0.8 differ in 4 bits on average.
-WORD_RADIUS = 6
 #: Up to so many dropped keys (about 100 bytes each) are sent to every executor; more are shuffled.
 BROADCAST_KEYS = 500_000
 
@@ -68,41 +58,18 @@ def fingerprint_of(text: str, words: int) -> int:
     return int(sum(1 << int(i) for i in np.flatnonzero(2 * ones > n)))
 
 
-def word_fingerprint(text: str) -> int:
-    """Weighted majority bits over a text's distinct words, each weighing its bytes (12 at most); no words gives 0.
-
-    A changed word touches as many shingles as a shingle has words but only one word, so near copies differ in
-    fewer bits here than in ``fingerprint_of``.
-    """
-    words = sorted(set(text.encode("utf-8", "surrogatepass").lower().split()))
-    score = np.zeros(64, np.int64)
-    for low in range(0, len(words), CHUNK):
-        part = words[low : low + CHUNK]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in part), np.uint64, len(part))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
-        score += np.fromiter((min(len(w), 12) for w in part), np.int64, len(part)) @ (2 * bits - 1)
-    return int(sum(1 << int(i) for i in np.flatnonzero(score > 0)))
-
-
-def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, by_words: bool = False) -> DataFrame:
-    """All columns of ``docs`` but the text, with ``mark`` and ``other`` (longs); null text is the empty text.
-
-    ``mark`` is the fingerprint of the shingles and ``other`` 0, or with ``by_words`` that of the words and of the shingles.
-    """
+def fingerprints(docs: DataFrame, text: str = "text", words: int = 4) -> DataFrame:
+    """All columns of ``docs`` but the text, with the fingerprint ``mark`` (long); null text is the empty text."""
     rest = [c for c in docs.columns if c != text]
-    rows = docs.select(*rest, text_or_empty(text).alias("_text"))
+    rows = docs.select(*rest, text_or_empty(text).alias(*free(rest, "_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *others, texts = batch.columns
-            n = len(texts)
-            shingled = np.fromiter((fingerprint_of(texts[i].as_py(), words) for i in range(n)), np.uint64, n)
-            marks = [shingled, np.zeros(n, np.uint64)]
-            if by_words:
-                marks = [np.fromiter((word_fingerprint(texts[i].as_py()) for i in range(n)), np.uint64, n), shingled]
-            yield pa.RecordBatch.from_arrays([*others, *(pa.array(m.view(np.int64)) for m in marks)], [*rest, "mark", "other"])
+            marks = np.fromiter((fingerprint_of(x.as_py(), words) for x in texts), np.uint64, len(texts))
+            yield pa.RecordBatch.from_arrays([*others, pa.array(marks.view(np.int64))], [*rest, "mark"])
 
-    return rows.mapInArrow(run, docs.select(*rest).schema.add("mark", "long").add("other", "long"))
+    return rows.mapInArrow(run, docs.select(*rest).schema.add("mark", "long"))
 
 
 def covering_masks(free: int, radius: int, level: int = 0) -> list[int]:
@@ -125,35 +92,33 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _links(marks: np.ndarray, others: np.ndarray, nodes: np.ndarray, radius: int, other_radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs within both radii, by growing from one fingerprint after the other."""
+def _links(marks: np.ndarray, nodes: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs within the radius, by growing from one fingerprint after the other."""
     edges = []
     while len(nodes):
-        front = [(marks[0], others[0], nodes[0])]
-        marks, others, nodes = marks[1:], others[1:], nodes[1:]
+        front = [(marks[0], nodes[0])]
+        marks, nodes = marks[1:], nodes[1:]
         while front and len(nodes):
-            mark, other, node = front.pop()
+            mark, node = front.pop()
             near = np.bitwise_count(marks ^ mark) <= radius
-            if other_radius < 64:
-                near &= np.bitwise_count(others ^ other) <= other_radius
             if near.any():
                 edges.extend((int(node), int(x)) for x in nodes[near])
-                front.extend(zip(marks[near], others[near], nodes[near], strict=True))
-                marks, others, nodes = marks[~near], others[~near], nodes[~near]
+                front.extend(zip(marks[near], nodes[near], strict=True))
+                marks, nodes = marks[~near], nodes[~near]
     return edges
 
 
-def _link_buckets(buckets: DataFrame, radius: int, other_radius: int) -> DataFrame:
+def _link_buckets(buckets: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) of nodes inside bounded buckets; whole buckets lie in one task, sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((4, 0), np.int64)
+        rest = np.empty((3, 0), np.int64)
 
         def edges_of(rows: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
             edges = []
             for part in np.split(rows, cuts, axis=1):
-                edges += _links(part[1].view(np.uint64), part[2].view(np.uint64), part[3], radius, other_radius)
+                edges += _links(part[1].view(np.uint64), part[2], radius)
             a, b = np.array(edges, np.int64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -169,24 +134,19 @@ def _link_buckets(buckets: DataFrame, radius: int, other_radius: int) -> DataFra
         if rest.shape[1]:
             yield edges_of(rest)
 
-    return buckets.select("bucket", "mark", "other", "node").mapInArrow(run, "a long, b long")
+    return buckets.select("bucket", "mark", "node").mapInArrow(run, "a long, b long")
 
 
-def link_fingerprints(
-    ws: Workspace, marks: DataFrame, radius: int = RADIUS, other_radius: int = 64, bucket_limit: int = BUCKET
-) -> DataFrame:
-    """Edges (a, b) that join nodes exactly as all pairs within ``radius`` and ``other_radius`` bits do.
+def link_fingerprints(ws: Workspace, marks: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET) -> DataFrame:
+    """Edges (a, b) that join nodes exactly as all pairs within ``radius`` bits do.
 
-    ``marks`` has (node, mark, other), a node for each distinct pair of fingerprints. The radius of the second one is
-    only tested (64 tests nothing); the masks cover the first.
+    ``marks`` has (node, mark), a node for each distinct fingerprint.
     """
-    if other_radius < 64:
-        return _link_both(ws, marks, radius, other_radius, bucket_limit)
     every, level = (1 << 64) - 1, 0
     edges = None
     # A path is a sequence of masks taken so far, by number; together they fix known bits.
     fixed_by = {0: 0}
-    current = marks.select("mark", "other", "node", F.lit(0).alias("path"))
+    current = marks.select("mark", "node", F.lit(0).alias("path"))
     while True:
         table = []
         for path, fixed in fixed_by.items():
@@ -194,16 +154,18 @@ def link_fingerprints(
                 table.append((path, len(table), _signed(fixed | m)))
         steps = ws.spark.createDataFrame(table, "path int, further int, mask long")
         spread = current.join(F.broadcast(steps), "path").select(
-            F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"), "mark", "other", "node", "further"
+            F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"), "mark", "node", "further"
         )
-        members = spread.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
-        members = ws.write(members, f"buckets-{level}")
+        # Buckets are counted before their members meet, and a large one is not brought to one task: the join may split it.
+        sizes = ws.write(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), f"sizes-{level}")
+        members = ws.write(spread.join(sizes, "bucket"), f"buckets-{level}")
+        ws.drop(sizes)
         # Where all free bits may differ, any two members are within the radius.
         narrow = [further for _, further, mask in table if 64 - (mask & every).bit_count() <= radius]
         is_narrow = F.col("further").isin(narrow) if narrow else F.lit(False)
         fits = F.col("n") <= bucket_limit
         small = members.where(fits & ~is_narrow)
-        found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
+        found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius)
         if narrow:
             masks = F.broadcast(steps.select("further", "mask"))
             tight = members.where(is_narrow).join(masks, "further").withColumn("value", F.col("mark").bitwiseAND(F.col("mask")))
@@ -215,45 +177,17 @@ def link_fingerprints(
         used = {r.further for r in large.select("further").distinct().collect()}  # masks, not data
         if not used:
             return edges
-        current, level = large.select("mark", "other", "node", F.col("further").alias("path")), level + 1
+        current, level = large.select("mark", "node", F.col("further").alias("path")), level + 1
         fixed_by = {further: mask & every for _, further, mask in table if further in used}
 
 
-def _link_both(ws: Workspace, marks: DataFrame, radius: int, other_radius: int, bucket_limit: int) -> DataFrame:
-    """``link_fingerprints`` with both radii tested: masks once, then blocks against blocks for what lies in large buckets."""
-    masks = ws.spark.createDataFrame([(i, _signed(m)) for i, m in enumerate(covering_masks((1 << 64) - 1, radius))], "further int, mask long")
-    spread = marks.crossJoin(F.broadcast(masks)).select(
-        F.xxhash64("further", F.col("mark").bitwiseAND(F.col("mask"))).alias("bucket"), "mark", "other", "node"
-    )
-    large = None
-    if marks.count() > bucket_limit:
-        large = ws.write(spread.groupBy("bucket").count().where(F.col("count") > bucket_limit).select("bucket"), "large")
-        if large.isEmpty():
-            large = None
-    small = spread if large is None else spread.join(large, "bucket", "left_anti")
-    small = small.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1")
-    small = ws.write(small, "buckets")
-    found = _link_buckets(small.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
-    edges = ws.write(found.where("a <> b").distinct(), "links")
-    if large is None:
-        return edges
-    # Two nodes of one large bucket are both among these; each pair of blocks is a bucket of its own.
-    crowd = ws.write(spread.join(large, "bucket", "left_semi").select("mark", "other", "node").distinct(), "crowd")
-    blocks = math.ceil(crowd.count() / max(1, bucket_limit // 2))
-    dealt = crowd.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks))).withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pair = F.least("block", "with") * F.lit(blocks) + F.greatest("block", "with")
-    dealt = dealt.select(pair.cast("long").alias("bucket"), "mark", "other", "node")
-    across = _link_buckets(dealt.repartition("bucket").sortWithinPartitions("bucket"), radius, other_radius)
-    return edges.unionByName(ws.write(across.where("a <> b").distinct(), "crowd-links"))
-
-
-def _with_roots(ws: Workspace, marked: DataFrame, radius: int, other_radius: int, bucket_limit: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(marked rows, (mark, other, root)): root is one number for each component of linked fingerprints."""
+def _with_roots(ws: Workspace, marked: DataFrame, radius: int, bucket_limit: int = BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(marked rows, (mark, root)): root is one number for each component of linked fingerprints."""
     marked = ws.write(marked, "fingerprints")
-    nodes = ws.write(marked.select("mark", "other").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
-    links = link_fingerprints(ws, nodes, radius, other_radius, bucket_limit)
-    linked = smallest_reachable(ws, links)
-    roots = nodes.join(linked, "node", "left").select("mark", "other", F.coalesce("root", "node").alias("root"))
+    nodes = ws.write(marked.select("mark").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+    linked = smallest_reachable(ws, link_fingerprints(ws, nodes, radius, bucket_limit))
+    roots = ws.write(nodes.join(linked, "node", "left").select("mark", F.coalesce("root", "node").alias("root")), "roots")
+    ws.drop(nodes)
     return marked, roots
 
 
@@ -266,10 +200,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     not looked at; an empty table gives an empty result.
     """
     ws = Workspace(docs.sparkSession, "simhash")
-    marked, roots = _with_roots(ws, fingerprints(docs.select(key, text), text, words), radius, 64)
+    marked, roots = _with_roots(ws, fingerprints(docs.select(key, text), text, words), radius)
     # Per fingerprint first: a group of copies is one row before its component is added up.
-    smallest = marked.groupBy("mark", "other").agg(F.min(key).alias("least"))
-    known = ws.write(smallest.join(roots, ["mark", "other"]), "known")
+    smallest = marked.groupBy("mark").agg(F.min(key).alias("least"))
+    known = ws.write(smallest.join(roots, "mark"), "known")
     ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(ids, "root").select("mark", "component_id")
     return marked.join(known, "mark").select(
@@ -278,33 +212,31 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
 
 def drop_near_copies(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, radius: int = WORD_RADIUS, similarity: float = 0.8,
-    bucket_limit: int = BUCKET,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = RADIUS, bucket_limit: int = BUCKET
 ) -> DataFrame:
-    """One row of each near-duplicate class of ``docs`` (all columns): the one with the smallest key.
+    """One row of each class of ``near_classes`` (all columns): the one with the smallest key.
 
-    Two texts are near duplicates if the fingerprints of their five-word shingles agree as those of texts of this
-    cosine similarity do (0.8: 13 of 64 bits may differ) and those of their words differ in at most ``radius`` bits;
-    classes are the components. Rows without key come last in a class; of rows equal in key and text one stays.
+    Rows without key come last in a class, and by their text's SHA-256; of rows equal in key and text one stays. Texts
+    without words are one class. An empty table gives an empty result. Two copies of a name among the columns are an error.
     """
     ws = Workspace(docs.sparkSession, "near-copies")
+    its_key, its_sha = free(docs.columns, "_key", "_sha")
     sha = F.sha2(text_or_empty(text), 256)
-    allowed = int(64 * np.arccos(similarity) / np.pi)
     rows = docs.select(F.col(key).alias("key"), sha.alias("sha"), F.col(text).alias("_source"))
-    marked, roots = _with_roots(ws, fingerprints(rows, "_source", words, by_words=True), radius, allowed, bucket_limit)
+    marked, roots = _with_roots(ws, fingerprints(rows, "_source", words), radius, bucket_limit)
     place = F.struct(F.col("key").isNull().alias("nameless"), "key", "sha")
-    first = marked.groupBy("mark", "other").agg(F.min(place).alias("first"))
-    first = ws.write(first.join(roots, ["mark", "other"]), "first")
+    first = marked.groupBy("mark").agg(F.min(place).alias("first"))
+    first = ws.write(first.join(roots, "mark"), "first")
     stays = first.groupBy("root").agg(F.min("first").alias("stays")).select("root", "stays.key", "stays.sha")
     # Only rows of classes with several rows or fingerprints can go.
     kept = ws.write(stays.select("key", "sha"), "stays")
     same = [F.col("m.key").eqNullSafe(F.col("s.key")), F.col("m.sha") == F.col("s.sha")]
     gone = ws.write(
-        marked.alias("m").join(kept.alias("s"), same, "left_anti").select(F.col("key").alias("_key"), F.col("sha").alias("_sha")).distinct(), "gone"
+        marked.alias("m").join(kept.alias("s"), same, "left_anti").select(F.col("key").alias(its_key), F.col("sha").alias(its_sha)).distinct(), "gone"
     )
-    twice = marked.groupBy("key", "sha").count().where("count > 1").select(F.col("key").alias("_key"), F.col("sha").alias("_sha"))
+    twice = marked.groupBy("key", "sha").count().where("count > 1").select(F.col("key").alias(its_key), F.col("sha").alias(its_sha))
     twice = ws.write(twice, "twice")
-    found = [F.col(key).eqNullSafe(F.col("_key")), sha == F.col("_sha")]
+    found = [F.col(key).eqNullSafe(F.col(its_key)), sha == F.col(its_sha)]
     small = gone.count() <= BROADCAST_KEYS
     stay = docs.join(F.broadcast(gone) if small else gone, found, "left_anti")
     if twice.isEmpty():

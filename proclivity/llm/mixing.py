@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import let
+from .shared import free, let
 
 #: Beyond about this mean the first probability is no normal double any more; larger rates are sums of such draws.
 MAX_RATE = 600.0
@@ -84,14 +84,13 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     The rows lie in ranges of ``shuffle_key`` (60 random bits), sorted inside each. Empty input gives none.
     """
     spark = docs.sparkSession
-    rates = repetition_rates(docs, weights, power, source).select(
-        F.col("source").alias("_source"), F.col("rate").alias("_rate")
-    )
     kept = docs.drop("copy", "shuffle_key")
-    drawn = kept.join(rates, F.col(source).eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("_copies", poisson_draw(F.col("_rate"), F.lit(seed), F.col(key)))
-    runs = drawn.where("_copies > 0").withColumn("_low", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(COPIES).cast("long"))))
-    run = F.sequence(F.col("_low"), F.least(F.col("_low") + F.lit(COPIES - 1), F.col("_copies")))
+    its_source, rate, count, low = free(kept.columns, "_source", "_rate", "_copies", "_low")
+    rates = repetition_rates(docs, weights, power, source).select(F.col("source").alias(its_source), F.col("rate").alias(rate))
+    drawn = kept.join(rates, F.col(source).eqNullSafe(F.col(its_source)))
+    drawn = drawn.withColumn(count, poisson_draw(F.col(rate), F.lit(seed), F.col(key)))
+    runs = drawn.where(F.col(count) > 0).withColumn(low, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count), F.lit(COPIES).cast("long"))))
+    run = F.sequence(F.col(low), F.least(F.col(low) + F.lit(COPIES - 1), F.col(count)))
     copies = runs.withColumn("copy", F.explode(run.cast("array<int>")))
     bits = F.substring(F.md5(F.concat_ws("|", F.lit(f"order{seed}"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("copy").cast("string"))), 1, 15)
     keyed = copies.withColumn("shuffle_key", F.conv(bits, 16, 10).cast("long"))

@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .ragged import PairTable
-from .shared import text_or_empty
+from .shared import free, text_or_empty
 
 MARK = "▁"
 #: A worker forgets its counts beyond so many cuts.
@@ -130,8 +131,8 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text", out: str
     """
     rest = [c for c in docs.columns if c not in (text, "n_bytes", out)]
     whole = text_or_empty(text)
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.octet_length(whole).cast("long").alias("n_bytes"), whole.alias("_text"))
-    schema = rows.drop("_text").schema.add(out, "long")
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.octet_length(whole).cast("long").alias("n_bytes"), whole.alias(*free([*rest, "n_bytes"], "_text")))
+    schema = StructType(rows.schema.fields[:-1]).add(out, "long")
     shared = docs.sparkSession.sparkContext.broadcast(PieceTable.load(model_file))
     name = uuid.uuid4().hex
 

@@ -130,12 +130,12 @@ TOOL_SCHEMAS = {
 def derived_tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from turns, since the table has no tool turns.
 
-    Each assistant turn stands for a call whose arguments hold its text, each user turn for the result of the call one
-    turn before. A call depends on the assistant turn two turns before, except on every fourth. Some calls lack
+    Each assistant turn stands for a call whose arguments hold its text, each other turn for the result of the call one
+    turn before. Turns without conversation or number have no identifier, so they stay unlinked. A call depends on the assistant turn two turns before, except on every fourth. Some calls lack
     results, some results lack calls, some arguments break their schema.
     """
     turn = F.col("turn")
-    identifier = lambda t: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
+    identifier = lambda t: F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"), t.cast("string"))
     kind = F.pmod(turn + F.col("conv_id"), F.lit(5))
     calls = conversations.where("role = 'assistant'").select(
         "conv_id",
@@ -146,7 +146,7 @@ def derived_tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.to_json(F.struct(F.col("text").alias("text"), (turn % 4 == 1).alias("formal")))).alias("arguments"),
         F.when(turn % 8 < 2, F.array().cast("array<string>")).otherwise(F.array(identifier(turn - 2))).alias("depends_on"),
     )
-    results = conversations.where("role = 'user'").select(
+    results = conversations.where("role IS DISTINCT FROM 'assistant'").select(
         "conv_id", identifier(turn - 1).alias("call_id"), F.col("text").alias("content")
     )
     return calls, results

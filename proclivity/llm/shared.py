@@ -41,6 +41,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``taken`` has it (letter case does not tell columns apart)."""
+    used, found = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        found.append(name)
+    return found
+
+
 def text_or_empty(name: str = "text") -> Column:
     """A null text counts as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

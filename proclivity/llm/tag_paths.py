@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_or_empty
+from .shared import free, text_or_empty
 
 #: Elements nested deeper belong to their parent, as in browsers; no text is lost by it.
 DEEPEST = 512
@@ -234,7 +234,7 @@ def main_text(page: str) -> str:
 def extract_articles(pages: DataFrame, key: str = "page_id", page: str = "html") -> DataFrame:
     """All other columns of ``pages`` (named text replaced) and ``text``, the main text; null html counts as empty."""
     rest = [c for c in pages.columns if c not in (page, "text")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in rest], text_or_empty(page).alias("_page"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in rest], text_or_empty(page).alias(*free(rest, "_page")))
     schema = pages.select(*[F.col(f"`{c}`") for c in rest]).schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

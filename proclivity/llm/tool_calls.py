@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -22,6 +23,9 @@ from .shared import Workspace
 CALL_SCHEMA = "conv_id long, call_id string, turn long, name string, arguments string, depends_on array<string>"
 
 
+HALF_PAIR = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value: Any) -> str:
     """Sorted keys, no white space, no escapes beyond those needed; whole floats as integers; no NaN."""
 
@@ -36,7 +40,9 @@ def canonical(value: Any) -> str:
             return {k: plain(x) for k, x in v.items()}
         return v
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    text = json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    # Half of a surrogate pair is legal in JSON as an escape only.
+    return HALF_PAIR.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 # Fixed values of JSON Schema.
@@ -45,6 +51,25 @@ TYPES = {
 }
 
 
+#: What of a schema is checked; notes to readers are passed over, anything else is an error.
+CHECKED = {
+    "type", "enum", "required", "properties", "additionalProperties", "items", "minimum", "maximum", "minLength", "maxLength",
+}
+NOTES = {"title", "description", "default", "examples", "$comment", "$schema", "$id"}
+
+
+def check_schema(schema: dict[str, Any], at: str = "$") -> None:
+    """Raises on keywords that would go unchecked."""
+    if unknown := sorted(set(schema) - CHECKED - NOTES):
+        raise ValueError(f"{at}: schemas with {', '.join(unknown)} are not supported")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{at}: additionalProperties must be true or false")
+    for name, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
 def problem(value: Any, schema: dict[str, Any], at: str = "$") -> str | None:
     """The first violation of a schema (type, enum, required, properties, additionalProperties, items, bounds, lengths)."""
     kinds = schema.get("type", [])
@@ -55,7 +80,8 @@ def problem(value: Any, schema: dict[str, Any], at: str = "$") -> str | None:
             return f"{at}: not of type {kind}"
     if isinstance(kinds, list) and kinds and all(problem(value, {"type": k}) for k in kinds):
         return f"{at}: not of type {' or '.join(kinds)}"
-    if "enum" in schema and value not in schema["enum"]:
+    # As JSON, true is not 1, and 1.0 is 1.
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         return f"{at}: not an allowed value"
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", -math.inf) or value > schema.get("maximum", math.inf):
@@ -122,9 +148,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str
     level, status ('linked', 'no result', 'no call'), name, valid, problem, json. A conversation in order of level,
     turn, call_id is in topological order; level is null in or behind a cycle, for calls without an identifier and
     for results alone. Several results of a call give several rows, as do repeated calls. Null arguments count as {};
-    arguments that are no JSON object, unknown tools and schema violations are invalid, with the reason.
-    Missing identifiers never match.
+    arguments that are no JSON object (or nested too deeply to be read), unknown tools and schema violations are
+    invalid, with the reason. Missing identifiers never match. Schema keywords that are not checked are an error.
     """
+    for own in schemas.values():
+        check_schema(own)
     ws = Workspace(calls.sparkSession, "tools")
     order = levels(ws, calls)
     ordered = _match(calls, order, ["conv_id", "call_id"], "left")
@@ -149,16 +177,22 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str
                 canonical(arguments)
             except (ValueError, RecursionError):
                 fault = "$: not JSON"
-            if fault is None:
-                own = schemas.get(row["name"])
-                fault = "unknown tool" if own is None else problem(arguments, {"type": "object", **own})
         message = {"call_id": row["call_id"], "name": row["name"], "status": row["status"]}
-        if row["status"] != "no call":
-            message["arguments"] = row["arguments"] if fault == "$: not JSON" else arguments
         if row["status"] != "no result":
             message["content"] = row["content"]
+        try:
+            if row["status"] != "no call" and fault is None:
+                own = schemas.get(row["name"])
+                fault = "unknown tool" if own is None else problem(arguments, {"type": "object", **own})
+                whole = canonical({**message, "arguments": arguments})
+        except RecursionError:
+            fault = "$: not JSON"
+        if fault == "$: not JSON":
+            whole = canonical({**message, "arguments": row["arguments"]})
+        elif row["status"] == "no call":
+            whole = canonical(message)
         valid = None if row["status"] == "no call" else fault is None
-        return {**{n: row.get(n) for n in names}, "valid": valid, "problem": fault, "json": canonical(message)}
+        return {**{n: row.get(n) for n in names}, "valid": valid, "problem": fault, "json": whole}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, text_or_empty
+from .shared import Workspace, free, text_or_empty
 
 #: Labelled rows used for learning at most (in expectation): 12 bytes each in a broadcast.
 MAX_LABELLED = 200_000
@@ -66,7 +66,7 @@ def segments(hits: list[tuple[int, float]], other: float) -> list[tuple[int, int
     segment keeps the running sums before its start and at its end, and links to the nearest one to the left with a
     smaller sum before it.
     """
-    found: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum at end
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum at end, place of the linked one
     total, last = 0.0, -1
     for at, score in hits:
         total += other * (at - last - 1)
@@ -74,19 +74,18 @@ def segments(hits: list[tuple[int, float]], other: float) -> list[tuple[int, int
         total += score
         last = at
         end_sum = total
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            skipped = []
             while j >= 0 and found[j][2] >= before:
-                skipped.append(j)
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= end_sum:
-                found.append((start, at, before, end_sum))
+                found.append((start, at, before, end_sum, j))
                 break
             # The earlier segment begins lower and ends lower: both and all between become one.
-            start, before = found[j][0], found[j][2]
+            start, _, before, _, link = found[j]
             del found[j:]
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = link
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 class _Scores(dict):
@@ -301,10 +300,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.3, max_label
     Rows are judged by the key of their text, so that rows sharing a doc_id are told apart.
     """
     ws = Workspace(docs.sparkSession, "toxic")
+    its_id, its_sha = free(docs.columns, "_id", "_sha")
     keyed = docs.select(F.struct("doc_id", F.sha2(text_or_empty(), 256).alias("sha")).alias("key"), "doc_id", "text")
     lexicon, k, curve = fit(ws, docs, labels, max_labelled)
     found = with_evidence(find_segments(keyed, lexicon, key="key"), lexicon, k)
-    gone = ws.write(found.where(_probability(curve) >= limit).select(F.col("key.doc_id").alias("_id"), F.col("key.sha").alias("_sha")).distinct(), "gone")
-    same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.sha2(text_or_empty(), 256) == F.col("_sha")]
+    gone = ws.write(found.where(_probability(curve) >= limit).select(F.col("key.doc_id").alias(its_id), F.col("key.sha").alias(its_sha)).distinct(), "gone")
+    same = [F.col("doc_id").eqNullSafe(F.col(its_id)), F.sha2(text_or_empty(), 256) == F.col(its_sha)]
     small = gone.count() <= BROADCAST_KEYS
     return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

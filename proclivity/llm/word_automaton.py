@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from .ragged import PairTable
-from .shared import text_or_empty
+from .shared import free, text_or_empty
 
 #: Share of all word occurrences from which a word is compiled; 1 / FREQUENT bounds the automaton.
 FREQUENT = 1e-6
@@ -368,12 +368,12 @@ def encode(ws, docs: DataFrame, tokenizer_file: str, text: str = "text", digests
     """
     added = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])]
     rest = [c for c in docs.columns if c not in (text, *added)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_or_empty(text).alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_or_empty(text).alias(*free(rest, "_text")))
     vocabulary = Vocabulary.load(tokenizer_file)
     automaton = compile_lexicon(ws, docs, vocabulary, text, frequent)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, automaton.packed()))
     call = uuid.uuid4().hex
-    schema = rows.drop("_text").schema.add("n_tokens", "long")
+    schema = StructType(rows.schema.fields[:-1]).add("n_tokens", "long")
     for name in added[1:]:
         schema = schema.add(name, ArrayType(IntegerType()) if name == "ids" else StringType())
 
