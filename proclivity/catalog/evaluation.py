@@ -340,11 +340,11 @@ def best_scenario_per_model(spark, sf):
 
 @register(
     "results_sorted_by_metrics",
-    with_persons("SELECT * FROM results ORDER BY roc_auc DESC, f1 DESC, model, scenario LIMIT 7", _RESULTS),
+    with_persons("SELECT * FROM results ORDER BY roc_auc DESC, f1 DESC, model, scenario", _RESULTS),
 )
 def results_sorted_by_metrics(spark, sf):
     order = [F.desc("roc_auc"), F.desc("f1"), F.col("model"), F.col("scenario")]
-    return reshape.top_by(result_frame(spark, sf), order, 7)
+    return result_frame(spark, sf).orderBy(*order)
 
 
 @register(

@@ -19,6 +19,7 @@ from proclivity.operators.splitting import stratified_split
 from proclivity.plans import experiments, scoring, tuning
 from proclivity.plans.cleaning_chain import CleaningChain, clean_each_split
 from proclivity.plans.persons import person_frame
+from proclivity.plans.selection_run import SelectionRun, select_features
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN
 from proclivity.session import materialize, scratch_dir
 
@@ -153,23 +154,54 @@ def model_gaussian_bayes(spark, sf):
 # Selection by models -------------------------------------------------------------------------
 
 
+_runs: dict[tuple, SelectionRun] = {}
+#: Trees of this depth: the full one takes minutes on the smallest tables (see the README).
+SELECTION_DEPTH = 8
+
+
+def _selection(spark, sf) -> SelectionRun:
+    """One selection run of all families per application and table folder, for the queries that look at its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _runs:
+        train, val, features = prepared_parts(spark, sf)
+        path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/selected-{uuid.uuid4().hex}"
+        _runs[key] = select_features(train, val, features, max_depth=SELECTION_DEPTH, path=path)
+    return _runs[key]
+
+
+@register("selection_run_votes")
+def selection_run_votes(spark, sf):
+    """Families, parts and consensus, from fitted selectors."""
+    return _selection(spark, sf).votes
+
+
+@register("selection_run_matrix")
+def selection_run_matrix(spark, sf):
+    return _selection(spark, sf).matrix
+
+
 @register("recursive_elimination")
 def recursive_elimination(spark, sf):
     train, _, features = prepared_parts(spark, sf)
-    return model_selection.eliminate_features(train, features, step=5, max_iter=50)
+    return model_selection.eliminate_features(train, features)
 
 
 @register("elimination_curve")
 def elimination_curve(spark, sf):
     train, val, features = prepared_parts(spark, sf)
-    ranking = model_selection.eliminate_features(train, features, step=10, max_iter=50)
-    return model_selection.elimination_curve(train, val, features, ranking, every=20, max_iter=50)
+    return model_selection.elimination_curve(train, val, features, _selection(spark, sf).ranking)
+
+
+@register("wrapper_family")
+def wrapper_family(spark, sf):
+    run = _selection(spark, sf)
+    return model_selection.wrapper_family(run.ranking, run.curve)
 
 
 @register("lasso_coefficients")
 def lasso_coefficients(spark, sf):
     train, _, features = prepared_parts(spark, sf)
-    table = model_selection.penalised_coefficients(train, features, penalty="l1", max_iter=200)
+    table = model_selection.penalised_coefficients(train, features, penalty="l1")
     kept = model_selection.lasso_features(table)
     return selection.keep_features(table, kept)
 
@@ -177,14 +209,13 @@ def lasso_coefficients(spark, sf):
 @register("ridge_reference")
 def ridge_reference(spark, sf):
     train, val, features = prepared_parts(spark, sf)
-    ridge = Classifier("LogisticRegression", {"penalty": "l2", "max_iter": 200}, features)
+    ridge = Classifier("LogisticRegression", {"penalty": "l2", "max_iter": 1000}, features)
     return experiments.evaluate_classifier(ridge, train, val)
 
 
 @register("forest_importances_above_mean")
 def forest_importances_above_mean(spark, sf):
-    train, _, features = prepared_parts(spark, sf)
-    table = model_selection.forest_importances(train, features, trees=100, max_depth=6)
+    table = _selection(spark, sf).importances
     return selection.keep_features(table, model_selection.above_mean(table))
 
 
@@ -211,7 +242,8 @@ def feature_set_scenarios(spark, sf):
 @register("feature_scenario_comparison")
 def feature_scenario_comparison(spark, sf):
     train, val = clean_parts(spark, sf)
-    selected = [c for c in train.columns if c not in (ID_COLUMN, TARGET_COLUMN)][::2]
+    final = _selection(spark, sf).votes.where(F.col("method") == "consensus")
+    selected = [r["feature"] for r in final.collect()]
     return experiments.compare_feature_scenarios(train, val, small_baselines(), selected)
 
 
@@ -236,13 +268,26 @@ def cross_validated_models(spark, sf):
 @register("tuning_trials")
 def tuning_trials(spark, sf):
     train, _ = clean_parts(spark, sf)
-    return tuning.search("DecisionTree", train, trials=2).table(spark)
+    return tuning.search("LogisticRegression", train).table(spark)
+
+
+@register("tuning_trials_bayes")
+def tuning_trials_bayes(spark, sf):
+    train, _ = clean_parts(spark, sf)
+    return tuning.search("GaussianNB", train).table(spark)
+
+
+@register("tuning_trials_tree")
+def tuning_trials_tree(spark, sf):
+    train, _ = clean_parts(spark, sf)
+    return tuning.search("DecisionTree", train, trials=3).table(spark)
 
 
 @register("tuned_models")
 def tuned_models(spark, sf):
     train, val = clean_parts(spark, sf)
-    return tuning.train_all_models(["DecisionTree", "GaussianNB"], train, val, trials=1)[0]
+    trials = {"LogisticRegression": 100, "GaussianNB": 100, "DecisionTree": 1}
+    return tuning.train_all_models(list(trials), train, val, trials=trials)[0]
 
 
 @register("final_fold_scores")
@@ -253,8 +298,10 @@ def final_fold_scores(spark, sf):
 
 @register("final_predictions")
 def final_predictions(spark, sf):
+    """The refit is on two halves of the training part; the rows scored are none of these."""
     train, val = clean_parts(spark, sf)
-    return scoring.refit_and_score(train, val, val.drop(TARGET_COLUMN))[0]
+    halves = [train.where(F.col(ID_COLUMN) % 2 == k) for k in (0, 1)]
+    return scoring.refit_and_score(*halves, val.drop(TARGET_COLUMN))[0]
 
 
 # One person in four is held back as a table the stored chain has never seen.

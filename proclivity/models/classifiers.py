@@ -1,8 +1,7 @@
 """Classifiers by name on named columns, all with the same output: ``score`` and ``prediction``.
 
-Most kinds are Spark ML estimators. Parameters carry their usual tabular names and are mapped here;
-those Spark ML has no counterpart for (leaf-node and split-size limits, solver choices, random
-split points) are accepted and left out.
+Most kinds are Spark ML estimators. Parameters carry their usual tabular names and are mapped here; those without a
+counterpart (leaf-node and split-size limits, solver choices, random split points, unlimited depth) are an error.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from proclivity.operators.preprocessing import assemble
 from proclivity.operators.splitting import balanced_weight, positive_weight
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN, require_columns
 
+#: Depth of trees unless given: the deepest that Spark ML grows.
 MAX_DEPTH = 30
 _STRATEGY = {"sqrt": "sqrt", "log2": "log2", None: "all"}
 
@@ -73,6 +73,9 @@ def check_parameters(kind: str, p: dict) -> None:
         raise ValueError(f"unknown criterion {p['criterion']!r}")
     if p.get("penalty", "l2") not in ("l1", "l2"):
         raise ValueError(f"unknown penalty {p['penalty']!r}")
+    depth = p.get("max_depth", MAX_DEPTH)
+    if isinstance(depth, bool) or not isinstance(depth, int) or not 0 <= depth <= MAX_DEPTH:
+        raise ValueError(f"max_depth must be a whole number up to {MAX_DEPTH}; unlimited depth is not available")
     _subset(p.get("max_features"))
 
 
@@ -86,9 +89,8 @@ def _subset(value) -> str:
 
 
 def _tree_params(p: dict, seed: int) -> dict:
-    depth = p.get("max_depth")
     return {
-        "maxDepth": MAX_DEPTH if depth is None else depth,
+        "maxDepth": p.get("max_depth", MAX_DEPTH),
         "minInstancesPerNode": p.get("min_samples_leaf", 1),
         "seed": seed,
     }

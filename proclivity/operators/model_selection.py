@@ -13,11 +13,15 @@ from proclivity.operators.evaluation import first_reaching, roc_auc
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.splitting import balanced_weight
 from proclivity.schema import TARGET_COLUMN
-from proclivity.session import materialize, written
+from proclivity.session import written
+
+
+#: The deepest trees Spark ML grows.
+MAX_DEPTH = 30
 
 
 def _training_vectors(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """``(label, weight, features)`` with balanced weights, written once for the many fits."""
+    """``(label, weight, features)`` with balanced weights."""
     rows = balanced_weight(df, target, "__weight")
     frame = assemble(
         rows.select(
@@ -26,7 +30,7 @@ def _training_vectors(df: DataFrame, features: list[str], target: str) -> DataFr
         features,
         "__features",
     )
-    return materialize(frame, "vectors")
+    return frame
 
 
 def _logistic(rows: int, penalty: str = "l2", c: float = 1.0, max_iter: int = 1000):
@@ -122,8 +126,8 @@ def penalised_coefficients(
     max_iter: int = 1000,
 ) -> DataFrame:
     """``(feature, coefficient)`` of a balanced logistic model with an L1 or L2 penalty."""
-    frame = _training_vectors(df, features, target)
-    model = _logistic(frame.count(), penalty, c, max_iter).fit(frame)
+    with written(_training_vectors(df, features, target), "vectors") as frame:
+        model = _logistic(frame.count(), penalty, c, max_iter).fit(frame)
     rows = [(f, float(w)) for f, w in zip(features, model.coefficients, strict=True)]
     return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
 
@@ -137,19 +141,20 @@ def forest_importances(
     features: list[str],
     target: str = TARGET_COLUMN,
     trees: int = 300,
-    max_depth: int = 10,
+    max_depth: int = MAX_DEPTH,
     seed: int = 5,
 ) -> DataFrame:
-    """``(feature, importance)`` of a balanced forest, largest first."""
-    frame = _training_vectors(df, features, target)
-    model = RandomForestClassifier(
+    """``(feature, importance)`` of a balanced forest, largest first; trees are as deep as Spark ML grows them."""
+    forest = RandomForestClassifier(
         featuresCol="__features",
         labelCol="__label",
         weightCol="__weight",
         numTrees=trees,
         maxDepth=max_depth,
         seed=seed,
-    ).fit(frame)
+    )
+    with written(_training_vectors(df, features, target), "vectors") as frame:
+        model = forest.fit(frame)
     weights = model.featureImportances.toArray()
     rows = [(f, float(w)) for f, w in zip(features, weights, strict=True)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
