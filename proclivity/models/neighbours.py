@@ -1,6 +1,8 @@
 """Exact k-nearest-neighbour vote without a cross join.
 
-Equal vectors are counted first, so groups of copies become single rows. Both sides are then placed
+Equal vectors are counted first, so groups of copies become single rows. As long as the distinct training vectors fit a
+checked size, every task holds them as one matrix and scores its rows in one pass, without a shuffle; in wide data, where
+bounds on distances prune little, that is also the least work. Beyond that size both sides are placed
 in the cells of a few pivot vectors. The triangle inequality bounds the distance to the k-th neighbour
 for all queries of a cell, and a training vector is sent only to those cells where it can still be
 among the neighbours. Large cells are cut into blocks of queries and chunks of training vectors; a task
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,10 @@ from proclivity.operators.base import FittedStep, Step
 from proclivity.session import materialize
 
 PIVOTS = 32
+#: Distinct training vectors up to so many bytes are sent to every task.
+MATRIX_BYTES = 64_000_000
+#: Distances that are held at once.
+HELD = 4_000_000
 QUERY_BLOCK = 2_000
 TRAIN_CHUNK = 50_000
 NEAR = "array<struct<d:double,n:long,pos:long>>"
@@ -64,8 +71,11 @@ class NearestNeighbours(Step):
     When the k-th neighbour lies in a group of equal vectors, the group counts with its share.
     """
 
-    def __init__(self, features: list[str], k: int = 5, weights: str = "uniform", p: int = 2, label="label"):
+    def __init__(
+        self, features: list[str], k: int = 5, weights: str = "uniform", p: int = 2, label="label", matrix_bytes: int = MATRIX_BYTES
+    ):
         super().__init__()
+        self.matrix_bytes = matrix_bytes
         if k < 1 or p < 1 or weights not in ("uniform", "distance"):
             raise ValueError("k and p start at 1; weights are uniform or distance")
         self.features = features
@@ -78,6 +88,9 @@ class NearestNeighbours(Step):
             .agg(F.count(F.lit(1)).alias("n"), F.sum(col(self.label).cast("long")).alias("pos"))
         )
         counted = materialize(counted, "neighbours")
+        state = {"features": self.features, "k": self.k, "weights": self.weights, "p": self.p}
+        if counted.count() * 8 * (len(self.features) + 2) <= self.matrix_bytes:
+            return NeighboursModel({**state, "matrix": True}, counted)
         chosen = counted.orderBy(F.xxhash64("__v"), "__v").limit(PIVOTS).select("__v").collect()
         pivots = np.array([r["__v"] for r in chosen], dtype=float)
         placed = materialize(_with_cells(counted, pivots, self.p), "cells")
@@ -88,7 +101,6 @@ class NearestNeighbours(Step):
             .where(F.col("r") <= self.k)
             .collect()
         )
-        state = {"features": self.features, "k": self.k, "weights": self.weights, "p": self.p}
         state["pivots"] = pivots.tolist()
         state["nearest"] = [[r["cell"], r["dist"], r["n"]] for r in nearest]
         return NeighboursModel(state, placed)
@@ -123,6 +135,51 @@ class NeighboursModel(FittedStep):
         return routes
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        return self._by_matrix(df) if self.state.get("matrix") else self._by_cells(df)
+
+    def _by_matrix(self, df: DataFrame) -> DataFrame:
+        """Every row against the whole matrix, which the fit has found small enough."""
+        s = self.state
+        k, p, by_distance = s["k"], s["p"], s["weights"] == "distance"
+        # Of vectors at one distance those of fewer rows, then of fewer positives come first.
+        known = self.train.select("__v", "n", "pos").orderBy("n", "pos", "__v").toArrow()
+        vectors = known.column("__v").combine_chunks().flatten().to_numpy().reshape(-1, len(s["features"]))
+        shared = df.sparkSession.sparkContext.broadcast((vectors, known.column("n").to_numpy(), known.column("pos").to_numpy()))
+        names = [f"c{i}" for i in range(len(df.columns))]
+        rows = _vectors(df, s["features"]).select(*[col(c).alias(n) for c, n in zip(df.columns, names, strict=True)], "__v")
+        added = [T.StructField("score", T.DoubleType()), T.StructField("prediction", T.DoubleType())]
+        fields = [T.StructField(n, f.dataType) for n, f in zip(names, df.schema.fields, strict=True)]
+
+        def vote(distances: np.ndarray, n: np.ndarray, pos: np.ndarray) -> float:
+            near = np.flatnonzero(distances <= np.partition(distances, min(k, len(distances)) - 1)[min(k, len(distances)) - 1])
+            near = near[np.argsort(distances[near], kind="stable")]
+            before = np.cumsum(n[near]) - n[near]
+            taken = np.clip(k - before, 0, n[near]).astype(float)
+            if by_distance:
+                d = distances[near]
+                taken *= (d == 0) if d[0] == 0 else 1 / d
+            return float((taken * pos[near] / n[near]).sum() / taken.sum())
+
+        def score(batches):
+            matrix, n, pos = shared.value
+            for batch in batches:
+                values = batch.column(len(names))
+                found = np.full(batch.num_rows, np.nan)
+                step = max(1, HELD // max(1, len(matrix)))
+                for low in range(0, batch.num_rows if len(matrix) else 0, step):
+                    part = values.slice(low, step)
+                    own = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), matrix.shape[1])
+                    whole = ~np.isnan(own).any(axis=1)
+                    for i, d in zip(np.flatnonzero(whole), _distances(own[whole], matrix, p), strict=True):
+                        found[low + i] = vote(d, n, pos)
+                scores = pa.array(found, from_pandas=True)
+                hits = pa.array(np.where(np.isnan(found), np.nan, found > 0.5), from_pandas=True)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores, hits], [*names, "score", "prediction"])
+
+        scored = rows.mapInArrow(score, T.StructType([*fields, *added]))
+        return scored.select(*[F.col(n).alias(c) for c, n in zip(df.columns, names, strict=True)], "score", "prediction")
+
+    def _by_cells(self, df: DataFrame) -> DataFrame:
         spark, s = df.sparkSession, self.state
         keyed = _vectors(df, s["features"])
         asked = keyed.select("__v").distinct()

@@ -60,8 +60,23 @@ def test_weights_raise_recall(frame):
     assert recall["balanced"] > recall[None]
 
 
+def test_neighbours_by_matrix_need_no_shuffle(spark):
+    rows = [(float(i % 7), float(i % 3), i % 2, "kept") for i in range(60)]
+    train = spark.createDataFrame(rows, "a double, `b.c` double, label int, other string")
+    model = neighbours.NearestNeighbours(["a", "b.c"], 3).fit(train)
+    out = model.transform(train)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and out.columns == [*train.columns, "score", "prediction"] and out.count() == 60
+    odd = spark.createDataFrame([(None, 1.0, 0, "x"), (-0.0, 0.0, 1, None)], train.schema)
+    got = model.transform(odd).collect()
+    assert got[0].score is None and got[0].prediction is None and got[1].score is not None
+    nobody = neighbours.NearestNeighbours(["a"], 3).fit(train.limit(0).select("a", "label"))
+    assert nobody.transform(train.select("a")).where("score IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("matrix_bytes", [0, neighbours.MATRIX_BYTES])
 @pytest.mark.parametrize(("k", "weights", "p"), [(1, "uniform", 2), (7, "uniform", 1), (5, "distance", 2)])
-def test_neighbours_match_brute_force(spark, monkeypatch, k, weights, p):
+def test_neighbours_match_brute_force(spark, monkeypatch, k, weights, p, matrix_bytes):
     monkeypatch.setattr(neighbours, "QUERY_BLOCK", 20)
     monkeypatch.setattr(neighbours, "TRAIN_CHUNK", 40)
     rng = np.random.default_rng(k)
@@ -71,7 +86,7 @@ def test_neighbours_match_brute_force(spark, monkeypatch, k, weights, p):
     ask = np.vstack([rng.normal(size=(60, 3)), x[:5], x[150:155]])
     train = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)], "a double, b double, c double, label int")
     test = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(ask)], "id int, a double, b double, c double")
-    model = neighbours.NearestNeighbours(["a", "b", "c"], k, weights, p).fit(train)
+    model = neighbours.NearestNeighbours(["a", "b", "c"], k, weights, p, matrix_bytes=matrix_bytes).fit(train)
     got = {r["id"]: r["score"] for r in model.transform(test).collect()}
     assert len(got) == len(ask)
     for i, point in enumerate(ask):
