@@ -232,11 +232,14 @@ def reduced_storage(spark, sf):
 @register(
     "storage_overflows",
     "SELECT 'big' AS feature, count(*) FILTER (o_orderkey * 1000000 > 2147483647) AS overflows FROM orders "
-    "UNION ALL SELECT 'o_orderkey', count(*) FILTER (o_orderkey > 2147483647) FROM orders",
+    "UNION ALL SELECT 'o_orderkey', count(*) FILTER (o_orderkey > 2147483647) FROM orders "
+    "UNION ALL SELECT 'huge', count(*) FILTER (o_totalprice > 100000) FROM orders",
 )
 def storage_overflows(spark, sf):
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", (F.col("o_orderkey") * 1_000_000).alias("big")
+        "o_orderkey",
+        (F.col("o_orderkey") * 1_000_000).alias("big"),
+        F.when(F.col("o_totalprice") > 100_000, F.lit(1e39)).otherwise(F.lit(1.5)).alias("huge"),
     )
     return cleaning.storage_overflows(orders)
 

@@ -9,17 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.operators.base import FittedStep, Step
-from proclivity.session import materialize
-
-CUT_EVERY = 10
+from proclivity.session import Rolling
 
 
 class SammeBoost(Step):
     """Each round fits a tree on the current weights and raises the weights of its misses.
 
     The frame has ``features``, ``label`` and optionally ``weight`` (class weights the trees see
-    on top). Weights are a column; the frame is written out every few rounds, which cuts the
-    lineage and survives lost executors.
+    on top). A round writes its rows with the misses of its tree, once, and the files of the round before are deleted: a
+    round's plan reads one table, whatever the number of rounds, and a lost executor costs a re-read.
     """
 
     def __init__(self, params: dict | None = None, seed: int = 14):
@@ -34,38 +32,36 @@ class SammeBoost(Step):
     def _fit(self, df: DataFrame) -> SammeModel:
         size = df.count()
         class_weight = F.col("weight") if "weight" in df.columns else F.lit(1.0)
-        current = materialize(
-            df.select("features", "label", class_weight.alias("__class"), F.lit(1.0 / size).alias("__w")),
-            "boost",
-        )
+        table = Rolling(df.sparkSession, "boost")
+        current = table.write(df.select("features", "label", class_weight.alias("__class"), F.lit(1.0 / size).alias("__w")))
         trees, alphas = [], []
-        for i in range(self.rounds):
-            weighted = current.withColumn("__fit", F.col("__w") * F.col("__class"))
-            tree = DecisionTreeClassifier(
-                maxDepth=self.depth,
-                minInstancesPerNode=self.leaf,
-                weightCol="__fit",
-                seed=self.seed + i,
-            ).fit(weighted)
-            miss = tree.transform(current).select(
-                "features", "label", "__class", "__w", (F.col("prediction") != F.col("label")).alias("__miss")
-            )
-            sums = miss.agg(
-                F.sum("__w").alias("all"), F.sum(F.when(F.col("__miss"), F.col("__w"))).alias("missed")
-            ).first()
-            error = (sums["missed"] or 0.0) / sums["all"]
-            if error <= 0:
-                trees, alphas = [*trees, tree], [*alphas, 1.0]
-                break
-            if error >= 0.5:
-                break
-            alpha = self.rate * math.log((1 - error) / error)
-            trees.append(tree)
-            alphas.append(alpha)
-            raised = F.when(F.col("__miss"), F.col("__w") * math.exp(alpha)).otherwise(F.col("__w"))
-            current = miss.withColumn("__w", raised / F.lit(sums["all"])).drop("__miss")
-            if (i + 1) % CUT_EVERY == 0:
-                current = materialize(current, "boost")
+        try:
+            for i in range(self.rounds):
+                weighted = current.withColumn("__fit", F.col("__w") * F.col("__class"))
+                tree = DecisionTreeClassifier(
+                    maxDepth=self.depth,
+                    minInstancesPerNode=self.leaf,
+                    weightCol="__fit",
+                    seed=self.seed + i,
+                ).fit(weighted)
+                missed = (F.col("prediction") != F.col("label")).alias("__miss")
+                rows = table.write(tree.transform(current).select("features", "label", "__class", "__w", missed))
+                sums = rows.agg(
+                    F.sum("__w").alias("all"), F.sum(F.when(F.col("__miss"), F.col("__w"))).alias("missed")
+                ).first()
+                error = (sums["missed"] or 0.0) / sums["all"]
+                if error <= 0:
+                    trees, alphas = [*trees, tree], [*alphas, 1.0]
+                    break
+                if error >= 0.5:
+                    break
+                alpha = self.rate * math.log((1 - error) / error)
+                trees.append(tree)
+                alphas.append(alpha)
+                raised = F.when(F.col("__miss"), F.col("__w") * math.exp(alpha)).otherwise(F.col("__w"))
+                current = rows.withColumn("__w", raised / F.lit(sums["all"])).drop("__miss")
+        finally:
+            table.close()
         if not trees:
             raise ValueError("the first tree is no better than chance; boosting cannot start")
         return SammeModel(trees, alphas)

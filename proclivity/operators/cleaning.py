@@ -131,28 +131,41 @@ def beyond_float32_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def reduce_storage(df: DataFrame) -> DataFrame:
-    """Whole numbers as 32-bit integers, fractions as single precision.
+    """Whole numbers as 32-bit integers, fractions as single precision, where all values of the column fit.
 
-    A value that does not fit becomes null; ``storage_overflows`` counts those.
+    A column with a value beyond the narrow type stays as it is; ``storage_overflows`` counts such values. Rounding to
+    single precision is not an overflow. One pass over the columns that might not fit, none if there are none.
     """
+    overflows = {r["feature"]: r["overflows"] for r in storage_overflows(df).collect()}
     changes = {}
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            changes[f.name] = col(f.name).try_cast("int")
+        if overflows.get(f.name):
+            continue
+        if isinstance(f.dataType, _WHOLE):
+            changes[f.name] = col(f.name).cast("int")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
             changes[f.name] = col(f.name).cast("float")
     return df.withColumns(changes)
 
 
 def storage_overflows(df: DataFrame) -> DataFrame:
-    """``(feature, overflows)``: values ``reduce_storage`` cannot keep."""
-    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)]
-    return feature_table(
-        df,
-        wide,
-        {"overflows": lambda c: f"count_if({ident(c)} IS NOT NULL AND try_cast({ident(c)} AS INT) IS NULL)"},
-    )
+    """``(feature, overflows)``: values of the 64-bit columns that the 32-bit types cannot hold, infinities aside."""
+    longs = {f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)}
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+
+    def beyond(c: str) -> str:
+        if c in longs:
+            return f"count_if({ident(c)} IS NOT NULL AND try_cast({ident(c)} AS INT) IS NULL)"
+        return f"count_if(abs({ident(c)}) > {number(FLOAT32_MAX)} AND abs({ident(c)}) < double('Infinity'))"
+
+    wide = [c for c in df.columns if c in longs or c in doubles]
+    if not wide:
+        return df.sparkSession.createDataFrame([], "feature string, overflows bigint")
+    return feature_table(df, wide, {"overflows": beyond})
 
 
 def drop_all_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

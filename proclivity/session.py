@@ -41,6 +41,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rolling:
+    """A table that is replaced again and again: a version's files are deleted once the next one is written."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self._root = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+        self._count = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self._count += 1
+        path = f"{self._root}/{self._count}"
+        df.write.parquet(path)
+        self._delete(f"{self._root}/{self._count - 1}")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        self._delete(self._root)
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def written(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``materialize`` for the length of a block: the files are deleted at its end, also after an error.
