@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
+from proclivity.functions.sqltext import ident
+from proclivity.session import materialize, written
 
 RANGES = 256
 COARSE = 16
@@ -54,7 +56,7 @@ def running_sums(
         )
     )
     if group:
-        with_cuts = df.join(hint(cuts), group, "left")
+        with_cuts = _join_by(df, hint(cuts), group)
     else:
         with_cuts = df.withColumn("__cut", cuts.scalar())
     # The range is the number of cuts below the value: first among every sixteenth, then in between.
@@ -86,30 +88,110 @@ def running_sums(
         .orderBy(value.desc() if descending else value.asc())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    out = placed.join(hint(offsets), [*group, "__range"], "left")
+    out = _join_by(placed, hint(offsets), [*group, "__range"])
     for s in sums:
         out = out.withColumn(f"{s}_upto", F.sum(s).over(inside) + F.col(f"__o_{s}"))
     return out.select(*[col(c) for c in df.columns], *[f"{s}_upto" for s in sums])
 
 
+def _join_by(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys where null equals null: a null group is a group."""
+    names = [f"__key_{k}" for k in range(len(keys))]
+    other = right.withColumnsRenamed(dict(zip(keys, names, strict=True)))
+    return left.join(other, [left[ident(k)].eqNullSafe(other[n]) for k, n in zip(keys, names, strict=True)], "left").drop(*names)
+
+
 def order_statistics(
-    df: DataFrame, group: list[str], value: str, probs: list[float], bounded_groups: bool = True
+    df: DataFrame, group: list[str], value: str, probs: list[float], bounded_groups: bool = False
 ) -> DataFrame:
     """Exact interpolated quantiles of ``value`` for each group, as columns ``q0, q1, …``.
 
-    Rows are first counted per (group, value), so repeated values cost nothing, and the two
-    neighbours of each quantile position are picked from the running count.
+    One scan makes a mergeable sketch per group, which brackets each quantile; a second counts what lies below each
+    bracket and how often each value in it occurs. Rows are not shuffled: only counts and the few values inside brackets
+    are. Should a bracket miss its quantile, which the sketch's bound rules out, rows are counted per (group, value) instead.
+    Groups may be many; ``bounded_groups`` states that their cut points may be broadcast in that last case.
     """
+    rows = df.where(col(value).isNotNull()).select(*[col(g) for g in group], col(value).cast("double").alias("__v"))
+    if not group or not probs:
+        return _counted_statistics(rows, group, probs, bounded_groups)
+    with written(_brackets(rows, group, probs), "brackets") as brackets:
+        with written(_bracketed(rows, group, brackets, len(probs)), "bracketed") as counts:
+            found = _picked(counts, brackets, group, probs)
+            table = materialize(found, "quantiles")
+    missed = " OR ".join(f"q{i} IS NULL" for i in range(len(probs)))
+    return table if table.where(missed).isEmpty() else _counted_statistics(rows, group, probs, bounded_groups)
+
+
+#: A sketch places a quantile within this share of a group's rows.
+SKETCH = 1000
+
+
+def _brackets(rows: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """``(group…, __total, __low, __high)``: arrays with a bracket per quantile, twice as wide as the sketch's error."""
+    reach = 2 / SKETCH
+    ends = [[F.lit(float(max(0.0, p - reach))) for p in probs], [F.lit(float(min(1.0, p + reach))) for p in probs]]
+    low, high = (F.percentile_approx("__v", F.array(*e), SKETCH) for e in ends)
+    sketched = rows.groupBy(*[col(g) for g in group]).agg(
+        F.count(F.lit(1)).alias("__total"), low.alias("__low"), high.alias("__high"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+    )
+    # A bracket that reaches an end of the group goes to its smallest or largest value.
+    lows = [F.col("__min") if p <= reach else F.get("__low", F.lit(i)) for i, p in enumerate(probs)]
+    highs = [F.col("__max") if p >= 1 - reach else F.get("__high", F.lit(i)) for i, p in enumerate(probs)]
+    return sketched.select(*[col(g) for g in group], "__total", F.array(*lows).alias("__low"), F.array(*highs).alias("__high"))
+
+
+def _bracketed(rows: DataFrame, group: list[str], brackets: DataFrame, quantiles: int) -> DataFrame:
+    """``(group…, __i, __v, __n)``: rows per value inside the bracket of quantile __i, and below it (null __v)."""
+    names = [f"__key_{k}" for k in range(len(group))]
+    right = brackets.select(*[col(g).alias(n) for g, n in zip(group, names, strict=True)], "__low", "__high")
+    same = [col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)]
+    v = F.col("__v")
+    place = [
+        F.when(v < F.get("__low", F.lit(i)), F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v"))).when(
+            v <= F.get("__high", F.lit(i)), F.struct(F.lit(i).alias("i"), v.alias("v"))
+        )
+        for i in range(quantiles)
+    ]
+    # The table of brackets is written, so its size is known: Spark sends it to the rows while it is small.
+    placed = rows.join(right, same).select(*[col(g) for g in group], F.explode(F.array_compact(F.array(*place))).alias("p"))
+    return placed.groupBy(*[col(g) for g in group], F.col("p.i").alias("__i"), F.col("p.v").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _picked(counts: DataFrame, brackets: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """The quantiles from the counted values; null where a bracket does not hold one."""
     by = [col(g) for g in group]
-    counts = (
-        df.where(col(value).isNotNull())
-        .groupBy(*by, col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+    held = counts.groupBy(*by, "__i").agg(
+        F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__n"))), F.lit(0)).alias("__below"),
+        F.array_sort(F.collect_list(F.when(F.col("__v").isNotNull(), F.struct("__v", "__n")))).alias("__values"),
     )
+    names = [f"__key_{k}" for k in range(len(group))]
+    right = brackets.select(*[col(g).alias(n) for g, n in zip(group, names, strict=True)], "__total")
+    same = [col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)]
+    p = F.get(F.array(*[F.lit(float(x)) for x in probs]), F.col("__i"))
+    placed = held.join(right, same).withColumn("__position", (F.col("__total") - 1) * p)
+
+    def at(rank):
+        """The value at a rank, counted from 0, among the bracket's."""
+        start = F.struct(F.col("__below").alias("seen"), F.lit(None).cast("double").alias("found"))
+        step = lambda s, x: F.struct(
+            (s["seen"] + x["__n"]).alias("seen"), F.when((s["seen"] <= rank) & (rank < s["seen"] + x["__n"]), x["__v"]).otherwise(s["found"]).alias("found")
+        )
+        return F.aggregate("__values", start, step, lambda s: s["found"])
+
+    low, high = at(F.floor("__position")), at(F.ceil("__position"))
+    one = placed.select(*by, "__i", low.alias("low"), high.alias("high"), (F.col("__position") - F.floor("__position")).alias("part"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    return one.groupBy(*by).agg(*[F.max(F.when(F.col("__i") == i, value)).alias(f"q{i}") for i in range(len(probs))])
+
+
+def _counted_statistics(rows: DataFrame, group: list[str], probs: list[float], bounded_groups: bool) -> DataFrame:
+    """``order_statistics`` from counts per (group, value): the two neighbours of each position by the running count."""
+    by = [col(g) for g in group]
+    counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"))
     upto = running_sums(counts, group, "__v", ["__n"], bounded_groups=bounded_groups)
     totals = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))
     if group:
-        joined = upto.join(F.broadcast(totals) if bounded_groups else totals, group)
+        joined = _join_by(upto, F.broadcast(totals) if bounded_groups else totals, group)
     else:
         joined = upto.withColumn("__total", totals.scalar())
     picks = []
