@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 4) -> DataFra
             *others, texts = batch.columns
             marks = np.fromiter((fingerprint_of(x.as_py(), words) for x in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([*others, pa.array(marks.view(np.int64))], [*rest, "mark"])
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, docs.select(*rest).schema.add("mark", "long"))
 

@@ -13,10 +13,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import free, let
+from .shared import Workspace, free, let
 
 #: Beyond about this mean the first probability is no normal double any more; larger rates are sums of such draws.
 MAX_RATE = 600.0
+#: Rates of up to so many sources (a name and a number each) are sent to every task; more are joined by a shuffle.
+BROADCAST_SOURCES = 100_000
 #: Copies of one document that are exploded at once.
 COPIES = 10_000
 
@@ -87,7 +89,10 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power:
     kept = docs.drop("copy", "shuffle_key")
     its_source, rate, count, low = free(kept.columns, "_source", "_rate", "_copies", "_low")
     rates = repetition_rates(docs, weights, power, source).select(F.col("source").alias(its_source), F.col("rate").alias(rate))
-    drawn = kept.join(rates, F.col(source).eqNullSafe(F.col(its_source)))
+    rates = Workspace(spark, "mixing").write(rates, "rates")
+    # Whole texts need not meet by source while the sources are few.
+    few = rates.count() <= BROADCAST_SOURCES
+    drawn = kept.join(F.broadcast(rates) if few else rates, F.col(source).eqNullSafe(F.col(its_source)))
     drawn = drawn.withColumn(count, poisson_draw(F.col(rate), F.lit(seed), F.col(key)))
     runs = drawn.where(F.col(count) > 0).withColumn(low, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count), F.lit(COPIES).cast("long"))))
     run = F.sequence(F.col(low), F.least(F.col(low) + F.lit(COPIES - 1), F.col(count)))

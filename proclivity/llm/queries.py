@@ -34,6 +34,7 @@ URL_RULES = [
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and odd urls have an empty host and path and no rule; equal rows are judged alike, an empty table gives none. Other columns are not read."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
 
@@ -54,6 +55,7 @@ FROM parsed p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1
 
 
 def op4_document_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are empty; of one doc_id, the order among rows is that of the operator. A table of one row is its own next one; an empty table gives none."""
     docs = read(spark, sf_dir, "documents")
     text = text_or_empty()
     near = bottom_k.with_next(docs, [text.alias("text"), bottom_k.sketch(text).alias("sketch")])
@@ -81,6 +83,7 @@ def op4_document_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null source is a source of its own; rows of one doc_id are drawn alike. All columns stay; an empty table gives none."""
     return mixing.mix(read(spark, sf_dir, "documents"), power=0.5, seed=1)
 
 
@@ -104,6 +107,7 @@ FROM copied
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are empty; a null doc_id counts as smallest, and of rows equal in doc_id and text one is kept. An empty table gives none."""
     return block_names.copy_classes(read(spark, sf_dir, "documents"))
 
 
@@ -153,11 +157,13 @@ def derived_tool_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn is a call or a result. Turns without conversation or number match nothing; a null text leaves its argument or content out."""
     calls, results = derived_tool_calls(read(spark, sf_dir, "conversations"))
     return tool_calls.link_calls(calls, results, TOOL_SCHEMAS)
 
 
 def op3_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty and null texts get the score of texts without a toxic passage; a row per row, null doc_ids too (held out by the checksum of no text: never)."""
     found = toxic_passages.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return found.select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
@@ -166,21 +172,25 @@ def op3_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null, empty and white texts have fingerprint zero and are linked; a null doc_id is an id only where a component has no other."""
     return covering_simhash.near_classes(read(spark, sf_dir, "documents"), words=4, radius=4)
 
 
 def op8_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and empty pages have an empty text; repeated rows are read again, an empty table gives none."""
     found = tag_paths.extract_articles(read(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op9_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are empty and have no tokens; a row per row, in no order."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     counted = piece_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
 def op10_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null texts are empty: no ids, the digests of the empty text. Equal rows give equal rows."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     ws = Workspace(spark, "encode")
     return word_automaton.encode(ws, docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)

@@ -42,7 +42,7 @@ SIGNIFICANCE = 0.05
 #: Up to so many rejected keys are sent to every executor; more are shuffled.
 BROADCAST_KEYS = 500_000
 #: A worker forgets its word scores beyond so many words.
-CACHE = 300_000
+CACHE = 100_000
 WORD = re.compile(r"\w+")
 
 
@@ -227,6 +227,7 @@ def find_segments(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text:
                 [batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array(lists, kind)],
                 [key, "n_tokens", "segments"],
             )
+        pa.default_memory_pool().release_unused()
 
     schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, n_tokens long, segments array<struct<first:int,last:int,score:double>>"
     return rows.mapInArrow(run, schema)
