@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proclivity.functions.columns import col
-from proclivity.models.newton import Fit, fit_together, scores_of, training_rows, without
+from proclivity.models.newton import Fit, fit_together, packed, scores_of, training_rows, without
 from proclivity.operators.evaluation import first_reaching, roc_auc
 from proclivity.operators.preprocessing import assemble
 from proclivity.operators.splitting import balanced_weight
@@ -58,7 +58,7 @@ def eliminate_features(
     Rank 1 is the feature kept longest. ``step`` features go at a time. The rounds read the same written rows; each
     starts from where the last one ended, so it takes a pass or two, and at most ``max_iter``.
     """
-    with written(training_rows(df, features, target), "elimination") as rows:
+    with written(packed(training_rows(df, features, target)), "elimination") as rows:
         rank, _ = _eliminate(rows, features, step, max_iter)
     return _ranking_frame(df.sparkSession, rank)
 
@@ -103,7 +103,7 @@ def elimination_curve(
     if not sizes or sizes[-1] != len(features):
         sizes.append(len(features))
     fits = [Fit([i for i, f in enumerate(features) if ranks[f] <= n]) for n in sizes]
-    with written(training_rows(train, features, target), "curve") as rows:
+    with written(packed(training_rows(train, features, target)), "curve") as rows:
         fit_together(rows, fits, len(features), max_iter=max_iter)
     scored = scores_of(training_rows(validation, features, target), fits, len(features))
     areas = roc_auc(scored, "score", "y", by=["fit"])
