@@ -18,6 +18,8 @@ from proclivity.session import written
 
 #: The deepest trees Spark ML grows.
 MAX_DEPTH = 30
+#: Rounds of an elimination that are fitted together.
+AHEAD = 8
 
 
 def _training_vectors(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -55,32 +57,49 @@ def eliminate_features(
 ) -> DataFrame:
     """``(feature, ranking)``: drop the smallest squared coefficient and refit, down to one.
 
-    Rank 1 is the feature kept longest. ``step`` features go at a time. The rounds read the same written rows; each
-    starts from where the last one ended, so it takes a pass or two, and at most ``max_iter``.
+    Rank 1 is the feature kept longest. ``step`` features go at a time. Rounds share their passes over the written rows:
+    a fit's second derivatives foresee which features go in the next ``AHEAD`` rounds, these are fitted together, and
+    counted up to the first whose features turn out to be others. So ranks are those of one round after another.
     """
     with written(packed(training_rows(df, features, target)), "elimination") as rows:
         rank, _ = _eliminate(rows, features, step, max_iter)
     return _ranking_frame(df.sparkSession, rank)
 
 
-def _eliminate(rows: DataFrame, features: list[str], step: int, max_iter: int) -> tuple[dict[str, int], int]:
+def _eliminate(rows: DataFrame, features: list[str], step: int, max_iter: int, ahead: int = AHEAD) -> tuple[dict[str, int], int]:
     """Rank of each feature, and the number of passes."""
     if not features:
         raise ValueError("at least one feature is needed")
-    fit, rank, passes = Fit(range(len(features))), {}, 0
+    fit, rank = Fit(range(len(features))), {}
+    passes = 0 if len(features) == 1 else fit_together(rows, [fit], len(features), max_iter=max_iter)
     while len(fit.columns) > 1:
-        passes += fit_together(rows, [fit], len(features), max_iter=max_iter)
         if not fit.converged:
             raise ArithmeticError(f"the fit on {len(fit.columns)} features needs more than {max_iter} passes")
-        order = sorted(range(len(fit.columns)), key=lambda i: (float(fit.coefficients[i]) ** 2, fit.columns[i]))
-        gone = order[: min(step, len(fit.columns) - 1)]
-        # One rank per round: the round's features share it, the next round ranks above.
-        rank |= {features[fit.columns[i]]: len(fit.columns) - len(gone) + 1 for i in gone}
-        fit = without(fit, gone)
+        guesses, last = [], fit
+        while len(last.columns) > 1 and len(guesses) < ahead:
+            gone = _smallest(last, step)
+            last = without(last, gone)
+            guesses.append((gone, last))
+        # The last feature needs no fit.
+        going = [g for _, g in guesses if len(g.columns) > 1]
+        if going:
+            passes += fit_together(rows, going, len(features), max_iter=max_iter)
+        for gone, following in guesses:
+            if not fit.converged or set(_smallest(fit, step)) != set(gone):
+                break
+            # One rank per round: the round's features share it, the next round ranks above.
+            rank |= {features[fit.columns[i]]: len(fit.columns) - len(gone) + 1 for i in gone}
+            fit = following
     rank[features[fit.columns[0]]] = 1
     return rank, passes
 
 
+def _smallest(fit: Fit, step: int) -> list[int]:
+    """Places in ``fit.columns`` of the coefficients that go next: the smallest squares, all but one at most."""
+    order = sorted(range(len(fit.columns)), key=lambda i: (float(fit.coefficients[i]) ** 2, fit.columns[i]))
+    return order[: min(step, len(fit.columns) - 1)]
+
+
 def _ranking_frame(spark, rank: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(list(rank.items()), "feature string, ranking int")
 
