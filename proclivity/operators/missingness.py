@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proclivity.functions.columns import any_of, col, double
+from proclivity.functions.columns import col, double
+from proclivity.models.newton import Fit, fit_together, moments, packed, scores_of
 from proclivity.operators.correlation import null_correlations, overlap_counts
-from proclivity.operators.preprocessing import assemble
 from proclivity.operators.profiling import (
     columns_with_nulls,
     group_null_rate,
@@ -21,9 +17,10 @@ from proclivity.operators.profiling import (
     recode,
 )
 from proclivity.operators.quantiles import exact_quantiles
+from proclivity.operators.running import running_sums
 from proclivity.operators.summary import column_stats
 from proclivity.schema import ID_COLUMN, TARGET_COLUMN, numeric_columns
-from proclivity.session import materialize
+from proclivity.session import written
 
 REPORT = "variable string, pct_missing double, auc double, verdict string, top_predictors string"
 # Areas from which gaps count as not at random or likely at random.
@@ -41,13 +38,13 @@ def analyse_mnar(
     key: str = ID_COLUMN,
     columns: list[str] | None = None,
     max_iter: int = 500,
-    parallelism: int = 4,
 ) -> DataFrame:
     """One row per column with nulls: how well the other numeric columns predict its gaps.
 
-    Medians and deviations come from shared passes and the filled predictors are written once;
-    each column then costs one logistic fit and one area. Rows in which all other predictors are
-    null are left out, as are columns whose gap never or always occurs among the rest.
+    Medians and deviations come from shared passes; the filled predictors are written once, around their means and over
+    their deviations. All columns are fitted together, each with the penalty of its own predictors over their deviations,
+    and their areas are counted together. Rows in which all other predictors are null are left out, as are columns whose
+    gap never or always occurs among the rest.
     """
     spark = df.sparkSession
     features = [c for c in df.columns if c not in (target, key)]
@@ -56,37 +53,41 @@ def analyse_mnar(
     medians = {c: v[0] for c, v in exact_quantiles(df, predictors, [0.5]).items()}
     shares = column_stats(df, candidates, ["null_share"])
     predictors = [c for c in predictors if medians[c] is not None]
-    filled = df.select(
-        *[col(c).isNull().cast("double").alias(f"__gap_{c}") for c in features],
-        *[F.coalesce(col(c).cast("double"), double(medians[c])).alias(c) for c in predictors],
-    )
-    filled = materialize(filled, "filled")
-    spread = column_stats(filled, predictors, ["std"])
-    area = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
-
-    def fit_one(c: str):
-        others = [p for p in predictors if p != c]
-        gap = col(f"__gap_{c}")
-        known = filled.where(any_of([col(f"__gap_{p}") == 0 for p in others]))
-        known = known.select(gap.alias("label"), *[col(p) for p in others])
-        size = known.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("gaps")).first()
-        if not size["gaps"] or size["gaps"] == size["n"]:
-            return None
-        frame = assemble(known, others)
-        model = LogisticRegression(
-            regParam=1.0 / size["n"], standardization=True, maxIter=max_iter
-        ).fit(frame)
-        auc = area.evaluate(model.transform(frame))
-        strength = {
-            p: abs(w) * float(spread[p]["std"] or 0.0)
-            for p, w in zip(others, model.coefficients, strict=True)
-        }
-        top = sorted(others, key=lambda p: (-strength[p], p))[:3]
-        return c, shares[c]["null_share"] * 100, auc, ", ".join(top)
-
-    # The fits are independent Spark jobs, so a few are submitted at a time.
-    with ThreadPool(min(parallelism, max(1, len(candidates)))) as pool:
-        rows = [r for r in pool.map(inheritable_thread_target(spark)(fit_one), candidates) if r]
+    filled = df.select(*[F.coalesce(col(c).cast("double"), double(medians[c])).alias(c) for c in predictors])
+    center = column_stats(filled, predictors, ["mean", "std"])
+    flags = list(dict.fromkeys([*candidates, *predictors]))
+    gaps = [col(c).isNull().cast("double") for c in flags]
+    values = [
+        (F.coalesce(col(c).cast("double"), double(medians[c])) - double(center[c]["mean"])) / double(center[c]["std"] or 1.0)
+        for c in predictors
+    ]
+    width = len(flags) + len(predictors)
+    place = {c: len(flags) + i for i, c in enumerate(predictors)}
+    fits = [
+        Fit([place[p] for p in predictors if p != c], label=flags.index(c), unless=[flags.index(p) for p in predictors if p != c])
+        for c in candidates
+        if any(p != c for p in predictors)
+    ]
+    wide = df.select(F.lit(0.0).alias("y"), F.lit(0).alias("fold"), F.array(*gaps, *values).cast("array<double>").alias("x"))
+    rows = []
+    with written(packed(wide), "gaps") as blocks:
+        going = []
+        for fit, (sizes, deviations) in zip(fits, moments(blocks, fits, width) if fits else [], strict=True):
+            if sizes.min() > 0:
+                # Without deviation a predictor tells nothing and has no coefficient.
+                varied = np.flatnonzero(deviations > 0)
+                going.append(Fit([fit.columns[i] for i in varied], label=fit.label, unless=fit.unless, factors=deviations[varied] ** 2))
+        if going:
+            fit_together(blocks, going, width, None, max_iter)
+            counts = scores_of(blocks, going, width).groupBy("fit", "score", "y").agg(F.count(F.lit(1)).alias("n"))
+            with written(counts, "gap-scores") as scored:
+                areas = _areas(scored)
+        for k, fit in enumerate(going):
+            c = flags[fit.label]
+            others = [p for p in predictors if p != c]
+            strength = dict.fromkeys(others, 0.0) | {predictors[i - len(flags)]: abs(w) for i, w in zip(fit.columns, fit.coefficients, strict=True)}
+            top = sorted(others, key=lambda p: (-strength[p], p))[:3]
+            rows.append((c, shares[c]["null_share"] * 100, areas[k], ", ".join(top)))
     if not rows:
         return spark.createDataFrame([], REPORT)
     table = spark.createDataFrame(
@@ -101,6 +102,19 @@ def analyse_mnar(
     ).orderBy(F.desc("auc"), "variable")
 
 
+def _areas(scored: DataFrame) -> dict[int, float]:
+    """Area under the ROC curve per fit, ties counted half, from counted ``(fit, score, y, n)``.
+
+    With running totals in rising order of the score, the area is the mean share of the rows of class 0 below a row of class 1.
+    """
+    by_score = scored.groupBy("fit", "score").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum("n").alias("n"))
+    upto = running_sums(by_score, ["fit"], "score", ["n", "pos"])
+    neg, below = F.col("n") - F.col("pos"), F.col("n_upto") - F.col("pos_upto") - (F.col("n") - F.col("pos"))
+    pairs = F.sum((F.col("pos") * (below + neg / 2)).cast("double"))
+    sums = upto.groupBy("fit").agg(pairs.alias("pairs"), F.sum("pos").alias("pos"), F.sum(neg).alias("neg"))
+    return {r["fit"]: r["pairs"] / (r["pos"] * r["neg"]) for r in sums.collect()}
+
+
 def explain_mnar(df: DataFrame) -> dict[str, DataFrame]:
     """The three tables behind the known gaps: by gift quintile, by owner, by recency."""
     owner = {"H": "Homeowner", "U": "Renter"}
