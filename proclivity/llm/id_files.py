@@ -14,10 +14,12 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,8 +32,12 @@ from .shared import text_or_empty
 BLOCK = 2048
 #: Blocks that a task codes side by side.
 SIDE_BY_SIDE = 2048
-#: A worker forgets its words beyond so many.
+#: A worker forgets words not met of late beyond so many.
 CACHE = 250_000
+#: Unknown parts that are encoded as one text.
+TOGETHER = 2000
+#: Bytes of text that are split at a time.
+TEXT = 1 << 22
 #: A piece of a document in a block: where the document starts in its part, where the piece starts in the document.
 PIECE = "array<struct<key:{key},start:long,skipped:long,n:long>>"
 
@@ -40,13 +46,11 @@ class Encoder:
     """Ids of texts as the tokenizers library gives them; parts of texts between single spaces are remembered.
 
     The library's byte-level splitting never joins what stands on both sides of a space between two other
-    characters, and takes that space to the right part. The same holds for line breaks, which stand alone.
+    characters, and takes that space to the right part. So unknown parts are encoded many at a time, as one text with
+    spaces between them: each begins with the only token that holds a space. Distinct parts are looked up once a call.
     """
 
     _safe = re.compile(r"(?<=\S) (?=\S)")
-    #: Spaces next to other white space or at an end, and the same for line breaks.
-    _odd_space = re.compile(r" \s|\s |^\s|\s$")
-    _odd_line = re.compile(r"\n\s|\s\n|^\n|\n$")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -56,41 +60,95 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        #: Ids of parts with a space before them.
+        #: Whether no special string can arise where two parts meet.
+        self.joinable = not any(" " in s for s in self.special)
+        vocabulary = self.library.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        #: Ids of parts with a space before them: those met of late, and those met before.
         self.known: dict[str, bytes] = {}
-
-    def _lines(self, part: str) -> list[str]:
-        """A part, to be read after a space, cut at its line breaks if no white space is next to any of them."""
-        if "\n" not in part or self._odd_line.search(part):
-            return [" " + part]
-        return [x for line in (" " + part).split("\n") for x in ("\n", line)][1:]
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, parts: list[str]) -> None:
-        cut = [self._lines(p) for p in parts]
-        words = list({w for c in cut for w in c})
-        ids = dict(zip(words, self._encode(words), strict=True))
-        self.known.update((p, ids[c[0]] if len(c) == 1 else b"".join([ids[w] for w in c])) for p, c in zip(parts, cut, strict=True))
-
-    def __call__(self, texts: Iterable[str]) -> list[bytes]:
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part after a space; no part holds one."""
+        ids = np.array(self.library.encode_batch_fast([" " + " ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(parts) or starts[0]:
+            return self._encode([" " + p for p in parts])
+        flat, edges = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [flat[low:high] for low, high in pairwise(edges)]
+
+    def _ids_of(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts after a space, from what is known where possible."""
+        if len(self.known) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        if missing := [p for p in parts if p not in known]:
+            known.update((p, older[p]) for p in missing if p in older)
+            new = [p for p in missing if p not in older]
+            alone = [p for p in new if " " in p] if self.joinable else new
+            known.update(zip(alone, self._encode([" " + p for p in alone]), strict=True))
+            rest = [p for p in new if p not in known]
+            for low in range(0, len(rest), TOGETHER):
+                some = rest[low : low + TOGETHER]
+                known.update(zip(some, self._encode_parts(some), strict=True))
+        return [known[p] for p in parts]
+
+    def _join(self, words: list[str], codes: np.ndarray, edges: np.ndarray) -> list[bytes]:
+        """Ids of texts that are given as the numbers of their parts in ``words``, at least one each."""
+        tail = np.ones(len(codes), bool)
+        tail[edges[:-1]] = False
+        heads = self._encode([words[i] for i in codes[edges[:-1]].tolist()])
+        codes = codes[tail]
+        used = np.flatnonzero(np.bincount(codes, minlength=len(words)))
+        ids = self._ids_of([words[i] for i in used.tolist()])
+        sizes, first = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        sizes[used] = [len(x) // 4 for x in ids]
+        first[used] = np.cumsum(sizes[used]) - sizes[used]
+        flat, counts = np.frombuffer(b"".join(ids), "<u4"), sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        flat = flat[np.repeat(first[codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        # A text has one part less in its tail than in all.
+        place = ends[edges - np.arange(len(edges))]
+        return [head + flat[low:high].tobytes() for head, (low, high) in zip(heads, pairwise(place.tolist()), strict=True)]
+
+    def __call__(self, texts: Iterable[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        heads, tails = [], []
-        for text in texts:
-            if any(s in text for s in self.special):
-                head, *tail = [text]
-            else:
-                head, *tail = self._safe.split(text) if self._odd_space.search(text) else text.split(" ")
-            heads.append(head)
-            tails.append(tail)
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        if new := {p for tail in tails for p in tail if p not in known}:
-            self._learn(list(new))
-        found = self._encode(heads)
-        return [head + b"".join(map(known.__getitem__, tail)) for head, tail in zip(found, tails, strict=True)]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        whole = np.zeros(len(texts), bool)
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        words, codes, edges = _numbered(pc.split_pattern(texts, " "))
+        # Where white space is next to a space or at an end, only other spaces are cut.
+        odd = np.array([not p or p[0].isspace() or p[-1].isspace() for p in words], bool)
+        odd = np.logical_or.reduceat(odd[codes], edges[:-1]) & ~whole
+        plain = ~odd & ~whole
+        found: list[bytes] = [b""] * len(texts)
+
+        def put(which: np.ndarray, ids: list[bytes]) -> None:
+            for i, x in zip(np.flatnonzero(which).tolist(), ids, strict=True):
+                found[i] = x
+
+        if whole.any():
+            put(whole, self._encode(texts.filter(pa.array(whole)).to_pylist()))
+        if odd.any():
+            put(odd, self._join(*_numbered(pa.array([self._safe.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]))))
+        if plain.any():
+            sizes = np.diff(edges)
+            put(plain, self._join(words, codes[np.repeat(plain, sizes)], np.concatenate([[0], np.cumsum(sizes[plain])])))
+        return found
+
+
+def _numbered(cut: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct parts of lists of parts, the number of each part among them, and where each list begins and ends."""
+    edges = cut.offsets.to_numpy().astype(np.int64)
+    parts = cut.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+    return parts.dictionary.to_pylist(), parts.indices.to_numpy(), edges - edges[0]
 
 
 #: The encoder of this worker process, kept between tasks with what it knows.
@@ -165,9 +223,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_file: str, end: int = 0, k
                 field = pa.list_(pa.struct([("key", batch.schema.field(0).type), *[(c, pa.int64()) for c in ("start", "skipped", "n")]]))
                 kinds = [("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("crc32", pa.int64()), ("code", pa.binary()), ("pieces", field)]
                 blocks = _Blocks(TaskContext.get().partitionId(), digits, pa.schema(kinds))
-            for low in range(0, batch.num_rows, 64):
-                some = batch.slice(low, 64)
-                for k, ids in zip(some.column(0).to_pylist(), encoder(some.column(1).to_pylist()), strict=True):
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + TEXT, side="right")))
+                some, low = batch.slice(low, high - low), high
+                for k, ids in zip(some.column(0).to_pylist(), encoder(some.column(1)), strict=True):
                     blocks.add(k, ids + final)
                     if blocks.held >= SIDE_BY_SIDE * BLOCK:
                         yield blocks.give(False)

@@ -102,3 +102,33 @@ def test_query_equals_library(spark, sf, library):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
     got = sorted((tuple(r) for r in queries.QUERIES["op12_id_range_coder"](spark, sf).collect()), key=lambda r: r[1])
     assert got == expected(docs, library)
+
+
+def test_unknown_parts_are_encoded_together(library, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcé1.'\nÄĠ日", k=rng.randrange(1, 9))).strip() or "x" for _ in range(5_000)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(40))) for _ in range(1_500)] + ["a  b", "x a  b c", "<|endoftext|> a b", ""]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(id_files, "CACHE", 2_000)
+    encoder = id_files.Encoder(library.to_str())
+    parts, encode = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda some: parts.extend(some) or encode(some))
+    got = [x for low in range(0, len(texts), 100) for x in encoder(texts[low : low + 100])]
+    assert got == want
+    # Alone go only the first part of each text, texts with special strings and parts with spaces inside.
+    assert sorted(p for p in parts if p[:1] == " ") == [" a  b"] and len(parts) == len(texts) + 1
+    assert len(encoder.known) <= 2_000 + len(words) and encoder.older
+
+
+def test_parts_that_begin_otherwise_are_encoded_alone(library, monkeypatch):
+    encoder = id_files.Encoder(library.to_str())
+    want = [np.array(library.encode(" " + p, add_special_tokens=False).ids, "<u4").tobytes() for p in ("one", "two", "a  b")]
+    assert encoder._encode_parts(["one", "two"]) == want[:2]
+    assert encoder._ids_of(["one", "a  b", "two"]) == [want[0], want[2], want[1]]
+    encoder.spaced[:] = False
+    assert encoder._encode_parts(["one", "two"]) == want[:2]
+    # Special strings that hold a space could arise where parts meet.
+    encoder.known.clear()
+    encoder.joinable = False
+    monkeypatch.setattr(encoder, "_encode_parts", None)
+    assert encoder._ids_of(["one", "two"]) == want[:2]
